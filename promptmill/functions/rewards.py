@@ -99,24 +99,24 @@ def python_reward(
     no prompt column is given), further columns as lists.
     """
     extra = dict(extra or {})
+    names = list(extra)
 
     def as_messages(cell) -> list[dict]:
         return [] if cell is None else [dict(m) for m in cell]
 
-    def build(columns: CompletionColumns) -> Column:
-        @F.pandas_udf("double")
-        def scored(batch: pd.DataFrame) -> pd.Series:
-            named = {name: batch[f"x_{name}"].tolist() for name in extra}
-            scores = function(
-                prompts=[as_messages(cell) for cell in batch["prompt"]],
-                completions=[
-                    [{"role": "assistant", "content": text}] for text in batch["completion"]
-                ],
-                answer=batch["gold"].tolist(),
-                **named,
-            )
-            return pd.Series(scores, dtype="float64")
+    def score(batch: pd.DataFrame) -> pd.Series:
+        scores = function(
+            prompts=[as_messages(cell) for cell in batch["prompt"]],
+            completions=[
+                [{"role": "assistant", "content": text}] for text in batch["completion"]
+            ],
+            answer=batch["gold"].tolist(),
+            **{name: batch[f"x_{name}"].tolist() for name in names},
+        )
+        return pd.Series(scores, dtype="float64")
 
+    def build(columns: CompletionColumns) -> Column:
+        scored = F.pandas_udf(score, "double")
         prompt = columns.prompt
         if prompt is None:
             prompt = F.lit(None).cast("array<struct<role:string,content:string>>")
