@@ -9,9 +9,10 @@ more than one input split:
    field is open at its end if one was (or was not) open at its start.
 2. A window over those small rows gives, per file, the encoding and the real
    quoting state at the start of each split.
-3. The lines are read again and cut into records. A record that crosses a
-   split boundary is put together from its pieces, and only such records are
-   grouped.
+3. The lines are read again and cut into records, which takes no shuffle: the
+   small rows are matched by a 64-bit key and broadcast after a check of their
+   number. A record that crosses a split boundary is put together from its
+   pieces, and only such records are grouped.
 
 Line feeds, quotes and commas are never part of a multi-byte character in the
 supported encodings, so cutting can work on undecoded bytes.
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promptmill.sources.images import plain_path
 from promptmill.workspace import escape_glob, materialize, path_exists
 
 # The department folders and their names.
@@ -52,6 +54,10 @@ UTF8_FIRST = ("utf-8", "gbk", "gb2312", "gb18030")
 ENCODING_ORDERS = {"reference": REFERENCE_ORDER, "utf8_first": UTF8_FIRST}
 _CHECKED = ("gbk", "gb18030", "utf-8")
 
+# A broadcast split takes about 50 bytes. At 128 MB per split this many stand
+# for more than 500 TB; beyond it the splits are joined by a shuffle.
+MAX_BROADCAST_SPLITS = 4_000_000
+
 # Why a whole file is rejected.
 UNDECODABLE = "undecodable_file"
 MALFORMED = "malformed_file"
@@ -102,11 +108,6 @@ class DepartmentFolders:
         return [escape_glob(self.folder(d)) + "/*.csv" for d in self.present(spark)]
 
 
-def _plain_path(uri: Column) -> Column:
-    """File URI without percent encoding, as listings show it."""
-    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
-
-
 def _folder_of(path: Column) -> Column:
     return F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1)
 
@@ -115,41 +116,35 @@ _FILES_SCHEMA = "path string, dept_dir string, length long"
 
 
 def scan_department_files(spark: SparkSession, folders: DepartmentFolders) -> DataFrame:
-    """One row per file, from the listing alone; contents are not read."""
-    globs = folders.csv_globs(spark)
+    """One row per file, from the listing alone; contents are not read.
+
+    Spark lists no files of zero length, which hold nothing to read or reject.
+    """
+    globs = _matching(spark, folders)
     if not globs:
         return spark.createDataFrame([], _FILES_SCHEMA)
-    try:
-        listing = spark.read.format("binaryFile").load(globs)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            globs = [g for g in globs if _matches(spark, g)]
-            if not globs:
-                return spark.createDataFrame([], _FILES_SCHEMA)
-            listing = spark.read.format("binaryFile").load(globs)
-        else:
-            raise
+    listing = spark.read.format("binaryFile").load(globs)
     return listing.select("path", _folder_of(F.col("path")).alias("dept_dir"), "length")
 
 
-def _matches(spark: SparkSession, glob: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(glob)
-    found = hadoop_path.getFileSystem(
-        spark.sparkContext._jsc.hadoopConfiguration()
-    ).globStatus(hadoop_path)
-    return found is not None and len(found) > 0
+def _matching(spark: SparkSession, folders: DepartmentFolders) -> list[str]:
+    """The folder patterns that match at least one file; Spark refuses others."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [(glob, hadoop.Path(glob)) for glob in folders.csv_globs(spark)]
+    return [glob for glob, path in paths if path.getFileSystem(conf).globStatus(path)]
 
 
 def _read_lines(spark: SparkSession, globs: list[str]) -> DataFrame:
-    """Undecoded lines with the file and the split start they come from."""
+    """Undecoded lines with the file and the split they come from."""
+    uri, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     return (
         spark.read.option("lineSep", "\n")
         .text(globs)
         .select(
-            F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("split"),
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("start"),
+            F.xxhash64(uri, start).alias("split"),
+            uri.alias("uri"),
+            start.alias("start"),
             F.col("value").cast("binary").alias("line"),
         )
     )
@@ -185,7 +180,7 @@ def _valid_encodings(lines: pa.Array, still: int) -> int:
 
 
 _SPLIT_SCHEMA = (
-    "path string, start long, encodings int, open_if_plain boolean, "
+    "split long, uri string, start long, encodings int, open_if_plain boolean, "
     "open_if_quoted boolean, closes_if_quoted boolean"
 )
 
@@ -193,38 +188,31 @@ _SPLIT_SCHEMA = (
 def _summarize_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per split; rows of a split are neighbours because nothing was shuffled."""
     names = [part.split()[0] for part in _SPLIT_SCHEMA.split(", ")]
-    types = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_()]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_()]
 
     def packed(rows: list[list]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(column, kind) for column, kind in zip(zip(*rows), types)], names
         )
 
-    current, row = None, None
+    row = None
     for batch in batches:
         done = []
         keys = batch.column("split").to_numpy(zero_copy_only=False)
         lines = batch.column("line")
         has_quote = pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)
         for low, high in _runs(keys):
-            if keys[low] != current:
+            if row is None or int(keys[low]) != row[0]:
                 if row:
                     done.append(row)
-                current = keys[low]
-                row = [
-                    batch.column("path")[low].as_py(),
-                    batch.column("start")[low].as_py(),
-                    (1 << len(_CHECKED)) - 1,
-                    False,
-                    True,
-                    False,
-                ]
-            row[2] = _valid_encodings(lines.slice(low, high - low), row[2])
+                uri, start = batch.column("uri")[low].as_py(), batch.column("start")[low].as_py()
+                row = [int(keys[low]), uri, start, (1 << len(_CHECKED)) - 1, False, True, False]
+            row[3] = _valid_encodings(lines.slice(low, high - low), row[3])
             for at in np.flatnonzero(has_quote[low:high]):
                 line = lines[low + int(at)].as_py()
-                row[3] = _end_state(line, row[3])
                 row[4] = _end_state(line, row[4])
-                row[5] = row[5] or not row[4]
+                row[5] = _end_state(line, row[5])
+                row[6] = row[6] or not row[5]
         if done:
             yield packed(done)
     if row:
@@ -249,7 +237,7 @@ def _resolve_splits(summaries: DataFrame, order: tuple[str, ...]) -> DataFrame:
     keeps or flips it. So the state before a split is that of the last
     preceding split of the first kind, flipped once per flipping split since.
     """
-    per_file = Window.partitionBy("path")
+    per_file = Window.partitionBy("uri")
     before = (
         per_file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -294,45 +282,101 @@ def _resolve_splits(summaries: DataFrame, order: tuple[str, ...]) -> DataFrame:
                 F.col("open_at_end"), F.lit(MALFORMED)
             ),
         )
-        .select("path", "start", "quoted", "quoted_after", "owner", "encoding", "reject_reason")
+        .select(
+            "split",
+            F.xxhash64("uri").alias("file"),
+            "uri",
+            "start",
+            "quoted",
+            "owner",
+            "encoding",
+            "reject_reason",
+        )
     )
 
 
 # A piece is valid for splits that start plain (0), quoted (1) or either way (2).
 _PLAIN, _QUOTED, _EITHER = 0, 1, 2
-_RECORD_SCHEMA = "path string, start long, line_no long, valid_for int, record binary"
-_PIECE_SCHEMA = "path string, start long, line_no long, valid_for int, role string, piece binary"
+_RECORD_SCHEMA = "split long, offset long, valid_for int, early boolean, record binary"
+_PIECE_SCHEMA = "split long, offset long, valid_for int, role string, piece binary"
+
+
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    kinds |= {"string": pa.string(), "binary": pa.binary()}
+    fields = [part.split() for part in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [
+            column if isinstance(column, pa.Array) else pa.array(column, kinds[kind])
+            for column, (_, kind) in zip(columns, fields)
+        ],
+        [name for name, _ in fields],
+    )
 
 
 class _Track:
     """Record cutting under one assumption about the start of a split.
 
     ``pending`` holds the lines of the record being read, and is None while
-    that record began in an earlier split.
+    that record began in an earlier split. ``offset`` is the place of its first
+    line in bytes. The first two records that are not blank count as early:
+    the header and the first data record of a file are always among those.
     """
 
     def __init__(self, assumption: int):
         self.assumption = assumption
         self.quoted = assumption == _QUOTED
         self.pending: list[bytes] | None = None if self.quoted else []
-        self.first_line = 0
+        self.offset = 0
+        self.n_early = 0
+
+    def early(self, record: bytes) -> bool:
+        if self.n_early == 2 or not record.strip(b" \t\r"):
+            return False
+        self.n_early += 1
+        return True
 
-    def hold(self, line_no: int, lines: list[bytes]) -> None:
+    def hold(self, offset: int, lines: list[bytes]) -> None:
         """Lines inside an open quoted field, or the first one that opens it."""
         if self.pending is not None and lines:
             if not self.pending:
-                self.first_line = line_no
+                self.offset = offset
             self.pending.extend(lines)
 
-    def feed(self, line_no: int, line: bytes, has_quote: bool = True):
+    def feed(self, offset: int, line: bytes) -> bytes | None:
         """The finished record, if this line finishes one that began in the split."""
-        self.hold(line_no, [line])
-        if has_quote:
+        self.hold(offset, [line])
+        if b'"' in line:
             self.quoted = _end_state(line, self.quoted)
         if self.quoted:
             return None
         finished, self.pending = self.pending, []
-        return None if finished is None else (self.first_line, b"\n".join(finished))
+        return None if finished is None else b"\n".join(finished)
+
+
+def _located_runs(batches: Iterator[pa.RecordBatch]):
+    """Yield (is new split, split, offsets, lines, has_quote) per run, None per batch end."""
+    current, ahead = None, 0
+    for batch in batches:
+        keys = batch.column("split").to_numpy(zero_copy_only=False)
+        lines = batch.column("line")
+        has_quote = pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(lines).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        for low, high in _runs(keys):
+            fresh = current is None or keys[low] != current
+            if fresh:
+                current = keys[low]
+                ahead = 0
+            ends = ahead + np.cumsum(sizes[low:high])
+            yield (
+                fresh,
+                int(current),
+                ends - sizes[low:high],
+                lines.slice(low, high - low),
+                has_quote[low:high],
+            )
+            ahead = int(ends[-1])
+        yield None
 
 
 def _cut_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,146 +385,102 @@ def _cut_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A stretch of lines without quotes outside a quoted field is a stretch of
     records and passes as an Arrow slice; Python looks only at lines with quotes.
     """
-    names = ["path", "start", "line_no", "valid_for", "record"]
-    current, line_no, where, tracks = None, 0, None, []
-    for batch in batches:
-        chunks: list[pa.RecordBatch] = []
-
-        def put(first_line: int, records: pa.Array, valid_for: int) -> None:
-            n = len(records)
-            chunks.append(
-                pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(pa.scalar(where[0], pa.string()), n),
-                        pa.repeat(pa.scalar(where[1], pa.int64()), n),
-                        pa.array(np.arange(first_line, first_line + n, dtype=np.int64)),
-                        pa.repeat(pa.scalar(valid_for, pa.int32()), n),
-                        records,
-                    ],
-                    names,
-                )
-            )
-
-        keys = batch.column("split").to_numpy(zero_copy_only=False)
-        lines = batch.column("line")
-        has_quote = pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)
-        for low, high in _runs(keys):
-            if keys[low] != current:
-                current, line_no = keys[low], 0
-                where = (batch.column("path")[low].as_py(), batch.column("start")[low].as_py())
-                tracks = [_Track(_PLAIN), _Track(_QUOTED)]
-            at = low
-            for quote_at in [*(np.flatnonzero(has_quote[low:high]) + low).tolist(), high]:
-                stretch = lines.slice(at, quote_at - at)
-                for track in tracks:
-                    valid_for = track.assumption if len(tracks) == 2 else _EITHER
-                    if len(stretch) and not track.quoted:
-                        put(line_no, stretch, valid_for)
-                    elif len(stretch) and track.pending is not None:
-                        track.hold(line_no, stretch.to_pylist())
-                    if quote_at < high:
-                        done = track.feed(line_no + len(stretch), lines[quote_at].as_py())
-                        if done:
-                            put(done[0], pa.array([done[1]], pa.binary()), valid_for)
-                if len(tracks) == 2 and not tracks[0].quoted and not tracks[1].quoted:
-                    tracks = tracks[:1]  # both assumptions agree from here on
-                line_no += len(stretch) + (quote_at < high)
-                at = quote_at + 1
-        if chunks:
-            yield pa.Table.from_batches(chunks).combine_chunks().to_batches()[0]
-
-
-def _walk(batches: Iterator[pa.RecordBatch]):
-    """Yield ("split" | "line" | "batch", details) for the ordered lines of each split."""
-    current, line_no = None, 0
-    for batch in batches:
-        keys = batch.column("split").to_numpy(zero_copy_only=False)
-        lines = batch.column("line")
-        has_quote = pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)
-        values = lines.to_pylist()
-        for low, high in _runs(keys):
-            if keys[low] != current:
-                current, line_no = keys[low], 0
-                yield "split", (
-                    batch.column("path")[low].as_py(),
-                    batch.column("start")[low].as_py(),
-                )
-            for at in range(low, high):
-                yield "line", (line_no, values[at], bool(has_quote[at]))
-                line_no += 1
-        yield "batch", None
+    tracks: list[_Track] = []
+    chunks: list[pa.RecordBatch] = []
+
+    def put(split: int, offsets, valid_for: int, early: list[bool], records: pa.Array) -> None:
+        n = len(records)
+        split_column = pa.repeat(pa.scalar(split, pa.int64()), n)
+        valid_column = pa.repeat(pa.scalar(valid_for, pa.int32()), n)
+        columns = [split_column, offsets, valid_column, early, records]
+        chunks.append(_batch(_RECORD_SCHEMA, columns))
+
+    for run in _located_runs(batches):
+        if run is None:
+            if chunks:
+                yield pa.Table.from_batches(chunks).combine_chunks().to_batches()[0]
+                chunks.clear()
+            continue
+        fresh, split, offsets, lines, has_quote = run
+        if fresh:
+            tracks = [_Track(_PLAIN), _Track(_QUOTED)]
+        at = 0
+        for quote_at in [*np.flatnonzero(has_quote).tolist(), len(lines)]:
+            stretch = lines.slice(at, quote_at - at)
+            for track in tracks:
+                valid_for = track.assumption if len(tracks) == 2 else _EITHER
+                if len(stretch) and not track.quoted:
+                    early = np.zeros(len(stretch), bool)
+                    if track.n_early < 2:
+                        early[:] = [track.early(line.as_py()) for line in stretch]
+                    put(split, offsets[at:quote_at], valid_for, early, stretch)
+                elif len(stretch) and track.pending is not None:
+                    track.hold(int(offsets[at]), stretch.to_pylist())
+                if quote_at < len(lines):
+                    record = track.feed(int(offsets[quote_at]), lines[quote_at].as_py())
+                    if record is not None:
+                        early = [track.early(record)]
+                        put(split, [track.offset], valid_for, early, pa.array([record], pa.binary()))
+            if len(tracks) == 2 and not tracks[0].quoted and not tracks[1].quoted:
+                # Both assumptions agree from here on.
+                tracks[0].n_early = min(track.n_early for track in tracks)
+                tracks = tracks[:1]
+            at = quote_at + 1
 
 
 def _cut_boundary_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First and last lines of a split that belong to a record crossing its bounds."""
-
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
-        path, start, line_no, valid_for, role, piece = zip(*rows)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(path, pa.string()),
-                pa.array(start, pa.int64()),
-                pa.array(line_no, pa.int64()),
-                pa.array(valid_for, pa.int32()),
-                pa.array(role, pa.string()),
-                pa.array(piece, pa.binary()),
-            ],
-            ["path", "start", "line_no", "valid_for", "role", "piece"],
-        )
-
     out: list[tuple] = []
-    where, tracks = None, []
+    current, tracks = None, []
 
     def tails() -> list[tuple]:
         return [
-            (*where, track.first_line + n, track.assumption, "tail", line)
+            (current, track.offset + n, track.assumption, "tail", line)
             for track in tracks
             if track.quoted and track.pending
             for n, line in enumerate(track.pending)
         ]
 
-    for kind, item in _walk(batches):
-        if kind == "split":
-            if where is not None:
-                out.extend(tails())
-            where, tracks = item, [_Track(_PLAIN), _Track(_QUOTED)]
-        elif kind == "line":
-            line_no, line, _ = item
+    for run in _located_runs(batches):
+        if run is None:
+            if out:
+                yield _batch(_PIECE_SCHEMA, list(zip(*out)))
+                out = []
+            continue
+        fresh, split, offsets, lines, _ = run
+        if fresh:
+            out.extend(tails())
+            current, tracks = split, [_Track(_PLAIN), _Track(_QUOTED)]
+        for offset, line in zip(offsets.tolist(), lines.to_pylist()):
             for track in tracks:
                 if track.pending is None:
-                    out.append((*where, line_no, track.assumption, "head", line))
-                track.feed(*item)
-        elif out:
-            yield packed(out)
-            out = []
-    if where is not None:
-        out.extend(tails())
+                    out.append((split, offset, track.assumption, "head", line))
+                track.feed(offset, line)
+    out.extend(tails())
     if out:
-        yield packed(out)
+        yield _batch(_PIECE_SCHEMA, list(zip(*out)))
+
+
+# Which pieces fit the real state at the start of their split.
+_VALID_HERE = "valid_for = 2 OR valid_for = CAST(quoted AS INT)"
 
 
 def _boundary_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     """Records that cross split bounds, one group per record."""
     pieces = lines.mapInArrow(_cut_boundary_pieces, _PIECE_SCHEMA)
-    owned = (
-        pieces.join(splits, ["path", "start"])
-        .where(F.col("reject_reason").isNull())
-        .where(F.col("valid_for") == F.col("quoted").cast("int"))
-        .withColumn(
-            "owner", F.when(F.col("role") == "tail", F.col("start")).otherwise(F.col("owner"))
-        )
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("start", "line_no", "piece")))
+    begins = F.when(F.col("role") == "tail", F.col("start")).otherwise(F.col("owner"))
+    owned = pieces.join(splits, "split").where(_VALID_HERE).withColumn("begins", begins)
+    ordered = F.array_sort(F.collect_list(F.struct("start", "offset", "piece")))
     # Joined as hexadecimal text, because the pieces are not decoded yet.
     glued = F.unhex(F.array_join(F.transform("pieces", lambda p: F.hex(p["piece"])), "0A"))
     return (
-        owned.groupBy("path", "owner", "encoding")
+        owned.groupBy("file", "begins", "encoding")
         .agg(ordered.alias("pieces"))
         .select(
-            "path",
-            F.col("owner").alias("start"),
-            F.col("pieces")[0]["line_no"].alias("line_no"),
+            "file",
+            (F.col("begins") + F.col("pieces")[0]["offset"]).alias("offset"),
             "encoding",
+            F.lit(True).alias("early"),
             glued.alias("record"),
         )
     )
@@ -532,7 +532,7 @@ def read_department_rows(
     """
     encodings = ENCODING_ORDERS[order]
     listing = scan_department_files(spark, folders)
-    globs = [g for g in folders.csv_globs(spark) if _matches(spark, g)]
+    globs = _matching(spark, folders)
     if not globs:
         empty = "path string, dept_dir string, encoding string, header array<string>"
         return DepartmentRows(
@@ -546,49 +546,70 @@ def read_department_rows(
         _resolve_splits(lines.mapInArrow(_summarize_splits, _SPLIT_SCHEMA), encodings),
         "csv-splits",
     )
+    found = splits.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("split").alias("n_keys"),
+        F.countDistinct("file").alias("n_files"),
+        F.countDistinct("uri").alias("n_uris"),
+        F.coalesce(F.bool_or("quoted"), F.lit(False)).alias("any_quoted"),
+    ).first()
+    if found["n_keys"] != found["n"] or found["n_files"] != found["n_uris"]:
+        raise RuntimeError("two input splits share a 64-bit key; read the folders separately")
     usable = splits.where(F.col("reject_reason").isNull())
+    keyed = usable.select("split", "file", "start", "quoted", "encoding")
+    if found["n"] <= MAX_BROADCAST_SPLITS:
+        keyed = F.broadcast(keyed)
 
     records = (
         lines.mapInArrow(_cut_records, _RECORD_SCHEMA)
-        .join(usable.select("path", "start", "quoted", "encoding"), ["path", "start"])
-        .where(F.col("valid_for").isin(_EITHER) | (F.col("valid_for") == F.col("quoted").cast("int")))
-        .select("path", "start", "line_no", "encoding", "record")
+        .join(keyed, "split")
+        .where(_VALID_HERE)
+        .select(
+            "file", (F.col("start") + F.col("offset")).alias("offset"), "encoding", "early", "record"
+        )
     )
     # Only a quoted line break at a split bound makes the extra pass necessary.
-    if not usable.where(F.col("quoted")).isEmpty():
-        records = records.unionByName(_boundary_records(lines, splits))
+    if found["any_quoted"]:
+        records = records.unionByName(_boundary_records(lines, usable))
 
+    # Every part of a record takes at least one byte, so places stay distinct.
     parsed = materialize(
         records.select(
-            "path",
-            "start",
-            "line_no",
+            "file",
+            "offset",
+            "early",
             F.posexplode(_parse_records("record", "encoding")).alias("part", "fields"),
+        ).select(
+            "file",
+            (F.col("offset") + F.col("part")).alias("place"),
+            "early",
+            F.size("fields").alias("width"),
+            "fields",
         ),
         "csv-records",
     )
-    place = F.struct("start", "line_no", "part")
-    heads = parsed.groupBy("path").agg(
-        F.min_by("fields", place).alias("header"), F.min(place).alias("header_at")
-    )
-    body = parsed.withColumn("at", place).join(heads, "path").where(F.col("at") > F.col("header_at"))
-    widths = body.groupBy("path").agg(
-        F.min_by(F.size("fields"), "at").alias("first_width"),
-        F.max(F.size("fields")).alias("widest"),
+    rank = F.row_number().over(Window.partitionBy("file").orderBy("place"))
+    first_two = parsed.where("early").withColumn("rank", rank).where("rank <= 2")
+    heads = first_two.groupBy("file").agg(
+        F.min_by("fields", "place").alias("header"),
+        F.min("place").alias("header_at"),
+        F.max_by("width", "place").alias("first_width"),
     )
+    widths = parsed.groupBy("file").agg(F.max("width").alias("widest"))
     # A first data record wider than the header shifts the columns to the
     # right; any later record wider than that makes the file malformed.
-    columns = F.greatest(F.size("header"), F.coalesce("first_width", F.lit(0)))
+    columns = F.greatest(F.size("header"), F.col("first_width"))
     verdicts = (
-        splits.groupBy("path")
-        .agg(F.first("encoding").alias("encoding"), F.first("reject_reason").alias("split_reason"))
-        .join(heads.select("path", "header"), "path", "left")
-        .join(widths, "path", "left")
+        splits.where("start = 0")
+        .select("file", "uri", "encoding", F.col("reject_reason").alias("split_reason"))
+        .join(heads, "file", "left")
+        .join(widths, "file", "left")
         .select(
-            _plain_path(F.col("path")).alias("path"),
-            F.col("path").alias("uri"),
+            "file",
+            plain_path(F.col("uri")).alias("path"),
             "encoding",
             "header",
+            "header_at",
             (columns - F.size("header")).alias("shift"),
             F.coalesce(
                 "split_reason",
@@ -597,18 +618,12 @@ def read_department_rows(
             ).alias("reject_reason"),
         )
     )
-    good = verdicts.where(F.col("reject_reason").isNull()).select(
-        F.col("uri"), F.col("path").alias("file"), "encoding", "shift"
-    )
     rows = (
-        body.join(good, F.col("path") == F.col("uri"))
+        parsed.select("file", "place", "fields")
+        .join(verdicts.where(F.col("reject_reason").isNull()), "file")
+        .where("place > header_at")
         .select(
-            F.col("file").alias("path"),
-            _folder_of(F.col("file")).alias("dept_dir"),
-            "encoding",
-            "header",
-            "fields",
-            "shift",
+            "path", _folder_of(F.col("path")).alias("dept_dir"), "encoding", "header", "fields", "shift"
         )
     )
     bare = F.regexp_replace("path", r"^[a-z0-9]+:/+", "/")
@@ -624,9 +639,7 @@ def read_department_rows(
             "dept_dir",
             "encoding",
             "header",
-            F.when(F.col("length") == 0, F.lit(EMPTY))
-            .otherwise(F.col("reject_reason"))
-            .alias("reject_reason"),
+            "reject_reason",
         )
     )
     return DepartmentRows(rows, files, folders.missing(spark))

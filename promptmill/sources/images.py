@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def plain_path(uri: Column) -> Column:
+    """File URI without percent encoding, as file listings show it."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def bare_path(path: Column) -> Column:
     """Path without scheme and without empty or ``.`` components, to compare by."""
     plain = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)", "")
@@ -41,5 +46,5 @@ def read_images(spark: SparkSession, path: str, recursive: bool = True) -> DataF
         spark.read.format("image")
         .option("recursiveFileLookup", recursive)
         .load(path)
-        .select(bare_path(F.col("image.origin")).alias("path"), "image")
+        .select(bare_path(plain_path(F.col("image.origin"))).alias("path"), "image")
     )
