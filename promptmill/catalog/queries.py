@@ -20,7 +20,7 @@ from promptmill.sources import tables
 from promptmill.sources.department_csv import DEPARTMENTS, attach_department
 from promptmill.sinks import writers
 from promptmill.streaming import streams
-from promptmill.workspace import fresh_dir, ship_package
+from promptmill.workspace import fresh_dir, materialize, ship_package
 
 CUSTOM_TEMPLATE = "Q({1}): {0}\n{{json}} 100%s\nA: {2} / {0}"
 CLEANING = cleaning.CleaningOptions(max_length=1000)
@@ -368,14 +368,18 @@ def prompt_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _placements(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+def _token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = schedule.limit_tokens(docs, "text", 2048).withColumn(
-        "n_tokens", F.size("tokens").cast("long")
-    )
-    return schedule.pack_sequences(
-        counted.select("doc_id", "n_tokens", *columns), ["doc_id"], block_length=2048
+    return schedule.limit_tokens(docs, "text", 2048).select("doc_id", "tokens")
+
+
+def _placements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = _token_rows(spark, sf_dir).select(
+        "doc_id", F.size("tokens").cast("long").alias("n_tokens")
     )
+    # Packing reads its input twice; the texts are split once for it.
+    counts = materialize(counts, "token-counts")
+    return schedule.pack_sequences(counts, ["doc_id"], block_length=2048)
 
 
 def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,8 +389,8 @@ def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = schedule.assemble_blocks(_placements(spark, sf_dir, "tokens"))
-    return blocks.select(
+    placed = _placements(spark, sf_dir).join(_token_rows(spark, sf_dir), "doc_id")
+    return schedule.assemble_blocks(placed).select(
         "block_id",
         F.size("tokens").cast("long").alias("n_tokens"),
         F.array_join("tokens", " ").alias("block_text"),

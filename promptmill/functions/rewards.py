@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, Row
 from pyspark.sql import functions as F
 
 from promptmill.functions.text import (
@@ -95,39 +95,32 @@ def python_reward(
     """Wrap a list-based Python reward ``f(prompts, completions, answer, **columns)``.
 
     The function sees one Arrow batch at a time: ``completions`` as lists of
-    one assistant message, ``prompts`` as lists of messages (empty lists when
-    no prompt column is given), further columns as lists.
+    one assistant message, ``prompts`` as lists of messages (empty ones when no
+    prompt column is given), further columns as lists.
     """
     extra = dict(extra or {})
-    names = list(extra)
 
     def as_messages(cell) -> list[dict]:
-        return [] if cell is None else [dict(m) for m in cell]
-
-    def score(batch: pd.DataFrame) -> pd.Series:
-        scores = function(
-            prompts=[as_messages(cell) for cell in batch["prompt"]],
-            completions=[
-                [{"role": "assistant", "content": text}] for text in batch["completion"]
-            ],
-            answer=batch["gold"].tolist(),
-            **{name: batch[f"x_{name}"].tolist() for name in names},
-        )
-        return pd.Series(scores, dtype="float64")
+        return [m.asDict() if isinstance(m, Row) else dict(m) for m in cell]
+
+    def scorer(names: list[str], with_prompt: bool):
+        def score(*batch: pd.Series) -> pd.Series:
+            completions, gold, *rest = (column.tolist() for column in batch)
+            prompts = [as_messages(cell) for cell in rest.pop()] if with_prompt else None
+            scores = function(
+                prompts=prompts or [[] for _ in completions],
+                completions=[[{"role": "assistant", "content": text}] for text in completions],
+                answer=gold,
+                **dict(zip(names, rest)),
+            )
+            return pd.Series(scores, dtype="float64")
+
+        return F.pandas_udf(score, "double")
 
     def build(columns: CompletionColumns) -> Column:
-        scored = F.pandas_udf(score, "double")
-        prompt = columns.prompt
-        if prompt is None:
-            prompt = F.lit(None).cast("array<struct<role:string,content:string>>")
-        return scored(
-            F.struct(
-                prompt.alias("prompt"),
-                columns.completion.alias("completion"),
-                columns.gold.alias("gold"),
-                *[column.alias(f"x_{name}") for name, column in extra.items()],
-            )
-        )
+        prompt = [] if columns.prompt is None else [columns.prompt]
+        score = scorer(list(extra), bool(prompt))
+        return score(columns.completion, columns.gold, *extra.values(), *prompt)
 
     return build
 

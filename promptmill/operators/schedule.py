@@ -151,11 +151,9 @@ def training_schedule(
         last = seeded_rank(df, ids, options.seed + whole_epochs, rest * size, digits)
         parts.append(last.withColumn("epoch", F.lit(whole_epochs)))
     ranked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    step = F.col("epoch") * F.lit(per_epoch) + F.floor(F.col("rank") / F.lit(size))
-    micro_step = F.floor(F.col("rank") % F.lit(size) / F.lit(options.micro_batch))
-    return ranked.withColumns(
-        {"step": step.cast("long"), "micro_step": micro_step.cast("int")}
-    )
+    step = F.expr(f"epoch * {per_epoch}L + rank div {size}L")
+    micro_step = F.expr(f"CAST(rank % {size}L div {options.micro_batch}L AS INT)")
+    return ranked.withColumns({"step": step, "micro_step": micro_step})
 
 
 TokenCounter = Callable[[Column], Column]
@@ -221,17 +219,19 @@ def pack_sequences(
     One row per sample and block it touches: ``block_id``, the place
     ``block_offset`` inside the block, and ``token_from`` and ``token_count``
     within the sample. Only the last block can be short. Samples without
-    tokens take no room.
+    tokens take no room. The input is read twice, so hand over a written table
+    of ids and counts rather than an expression that tokenizes.
     """
-    keyed = df.where(F.col(n_tokens) > 0).withColumn("key_", shuffle_key(ids, seed))
+    keyed = df.withColumn("key_", shuffle_key(ids, seed))
     placed = _running_total(keyed, ids, F.col(n_tokens), "start_", digits)
-    length = F.lit(block_length)
-    first = F.floor(F.col("start_") / length)
-    last = F.floor((F.col("start_") + F.col(n_tokens) - 1) / length)
+    length = F.lit(block_length).cast("long")
+    first = F.expr(f"start_ div {block_length}L")
+    last = F.expr(f"(start_ + `{n_tokens}` - 1) div {block_length}L")
     low = F.greatest(F.col("start_"), F.col("block_id") * length)
     high = F.least(F.col("start_") + F.col(n_tokens), (F.col("block_id") + 1) * length)
+    blocks = F.when(F.col(n_tokens) > 0, F.sequence(first, last))
     return (
-        placed.withColumn("block_id", F.explode(F.sequence(first, last)))
+        placed.withColumn("block_id", F.explode(blocks))
         .withColumns(
             {
                 "block_offset": low - F.col("block_id") * length,

@@ -110,32 +110,46 @@ def label_manifest(
     )
 
 
+def _reference_to(image_path: Column, decoded: Column | None = None) -> Column:
+    """Image struct that names the file and leaves the pixels there."""
+
+    def known(field: str, kind: str) -> Column:
+        return (F.lit(None) if decoded is None else decoded[field]).cast(kind).alias(field)
+
+    return F.struct(
+        image_path.alias("origin"),
+        *[known(field, "int") for field in ("height", "width", "nChannels", "mode")],
+        F.lit(None).cast("binary").alias("data"),
+    )
+
+
 def vision_records(
     manifest: DataFrame,
     files: DataFrame | None = None,
     images: DataFrame | None = None,
     keep: tuple[str, ...] = (),
+    with_pixels: bool = True,
 ) -> DataFrame:
     """Conversations of the manifest rows that pass every check.
 
-    With ``images`` (path, image) the records carry RGB pixels. With ``files``
-    alone they carry the path in ``image.origin`` and leave the pixels on disk.
+    With ``images`` (path, image) only decodable ones count, and the records
+    carry their RGB pixels, or just their path and size for
+    ``with_pixels=False``. With ``files`` alone the records carry the path.
+
+    Pixels pass through Arrow batches. Set
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` so that one batch of
+    pictures fits into a worker's memory; its default of 10,000 is for short rows.
     """
     usable = require_prompt_response(require_image_path(manifest))
     if images is not None:
+        if not with_pixels:
+            images = images.withColumn("image", F.col("image").dropFields("data"))
         usable = require_decodable_image(attach_image(usable, images))
-        image = to_rgb(F.col("image"))
+        picture = F.col("image")
+        image = to_rgb(picture) if with_pixels else _reference_to(F.col("image_path"), picture)
     else:
         if files is not None:
             usable = require_image_exists(usable, files)
-        empty = F.lit(None)
-        image = F.struct(
-            F.col("image_path").alias("origin"),
-            empty.cast("int").alias("height"),
-            empty.cast("int").alias("width"),
-            empty.cast("int").alias("nChannels"),
-            empty.cast("int").alias("mode"),
-            empty.cast("binary").alias("data"),
-        )
+        image = _reference_to(F.col("image_path"))
     messages = build_vision_conversation(F.col("prompt_text"), F.col("response_text"), image)
     return usable.select(*keep, messages.alias("messages"))

@@ -113,13 +113,16 @@ def prepare_vision(
     schema: str | None = None,
     with_pixels: bool = True,
 ) -> VisionResult:
-    """Manifest and image folder to conversation records."""
+    """Manifest and image folder to conversation records.
+
+    Without pixels the records name the picture files, which keeps the written
+    set small; either way every picture is decoded once to see that it can be.
+    """
     manifest = vision.normalize_manifest(
         read_manifest(spark, manifest_path, format, schema), options
     )
-    files = list_files(spark, image_dir)
-    images = read_images(spark, image_dir) if with_pixels else None
+    files, images = list_files(spark, image_dir), read_images(spark, image_dir)
     return VisionResult(
-        vision.vision_records(manifest, files, images),
+        vision.vision_records(manifest, files, images, with_pixels=with_pixels),
         vision.label_manifest(manifest, files, images),
     )

@@ -73,6 +73,17 @@ def test_paths_only(spark, folder):
     assert origins == {"rgb.png", "gray 1.png", "rgba.png", "bad.png"}
 
 
+def test_decodable_pictures_by_reference(spark, folder):
+    manifest = vision.normalize_manifest(
+        spark.createDataFrame(ROWS, SCHEMA), vision.VisionOptions(base_dir=str(folder))
+    )
+    images = image_source.read_images(spark, str(folder))
+    records = vision.vision_records(manifest, images=images, keep=("id",), with_pixels=False)
+    got = {r.id: r.messages[0].content[1].image for r in records.collect()}
+    assert got.keys() == {"1", "2", "3"}
+    assert got["1"].data is None and got["1"].width == 2 and got["1"].origin.endswith("/rgb.png")
+
+
 def test_missing_column_counts_as_null(spark):
     df = spark.createDataFrame([("p", "x.png")], "prompt string, image string")
     manifest = vision.normalize_manifest(df)
