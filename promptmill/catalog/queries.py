@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from promptmill.sources import tables
 from promptmill.sources.department_csv import DEPARTMENTS, attach_department
 from promptmill.sinks import writers
 from promptmill.streaming import streams
-from promptmill.workspace import fresh_dir, materialize, ship_package
+from promptmill.workspace import fresh_dir, materialize, prepare_session
 
 CUSTOM_TEMPLATE = "Q({1}): {0}\n{{json}} 100%s\nA: {2} / {0}"
 CLEANING = cleaning.CleaningOptions(max_length=1000)
@@ -85,7 +87,6 @@ def response_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
 
     def measure(batch: dict[str, list]) -> dict[str, list]:
         return {
@@ -276,7 +277,6 @@ def reward_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reward_python(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's list-based Python reward added to the built-in ones."""
-    ship_package(spark)
 
     def brevity(prompts, completions, answer, status, **kwargs):
         return [
@@ -423,7 +423,6 @@ def vision_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vision_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of decodable pictures with their pixels in RGB order."""
-    ship_package(spark)
     pictures = inputs.picture_rows(spark, sf_dir)
     records = vision.vision_records(_manifest(spark, sf_dir), images=pictures, keep=("id",))
     image = F.col("messages")[0]["content"][1]["image"]
@@ -436,7 +435,6 @@ def vision_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     pictures = vision.require_decodable_image(inputs.picture_rows(spark, sf_dir))
     rgb = images.to_rgb(F.col("image"))
     return pictures.select("doc_id", F.lower(F.hex(rgb["data"])).alias("pixels"))
@@ -473,7 +471,6 @@ def vision_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs written as department folders of CSV files, then read and cleaned."""
-    ship_package(spark)
     folder = fresh_dir(spark, "departments")
     pairs = inputs.turns_with_reply(spark, sf_dir).select(
         "conv_id",
@@ -584,8 +581,17 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("gen_id", *REWARD_NAMES, "reward_total")
 
 
+def _prepared(query):
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare_session(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    query.__name__: query
+    query.__name__: _prepared(query)
     for query in (
         format_instruction, format_qa, format_custom, format_null_cells, inference_prompt,
         select_text_field, response_text, map_batched, preview_first,

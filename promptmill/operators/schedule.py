@@ -23,6 +23,7 @@ DEFAULT_SEED = 3407
 
 # 16**4 = 65,536 buckets: a table of that size is about a megabyte.
 BUCKET_DIGITS = 4
+MAX_BUCKET_DIGITS = 5
 
 
 def shuffle_key(ids: Sequence[str], seed: int | Column = DEFAULT_SEED) -> Column:
@@ -51,6 +52,8 @@ def _running_total(
     columns. With ``limit``, buckets that start at or beyond it are dropped
     before any row is shuffled.
     """
+    if not 1 <= digits <= MAX_BUCKET_DIGITS:
+        raise ValueError(f"digits must be 1 to {MAX_BUCKET_DIGITS}: the bucket table is broadcast")
     groups = [*within, "bucket_"]
     valued = df.withColumns(
         {"bucket_": F.substring("key_", 1, digits), "value_": value.cast("long")}

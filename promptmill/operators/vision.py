@@ -91,20 +91,21 @@ def label_manifest(
     images only the mode is read.
     """
     pathless = F.col("image_path").isNull() | (F.col("image_path") == "")
-    listed = _listed(files).withColumn("listed", F.lit(True))
-    with_path = manifest.where(~pathless).join(listed, "image_path", "left")
-    bad_image = F.lit(False)
+    known = _listed(files).withColumn("listed", F.lit(True))
     if images is not None:
         modes = images.select(F.col("path").alias("image_path"), F.col("image.mode").alias("mode"))
-        with_path = with_path.join(modes, "image_path", "left")
-        bad_image = F.col("mode") == UNDECODABLE_MODE
+        known = known.join(modes, "image_path", "left")
+    else:
+        known = known.withColumn("mode", F.lit(None).cast("int"))
     reason = (
         F.when(F.col("listed").isNull(), F.lit(MISSING_FILE))
         .when(F.col("prompt_text").isNull() | F.col("response_text").isNull(), F.lit(MISSING_TEXT))
-        .when(bad_image, F.lit(BAD_IMAGE))
+        .when(F.col("mode") == UNDECODABLE_MODE, F.lit(BAD_IMAGE))
     )
     return (
-        with_path.withColumn("reject_reason", reason)
+        manifest.where(~pathless)
+        .join(known, "image_path", "left")
+        .withColumn("reject_reason", reason)
         .drop("listed", "mode")
         .unionByName(manifest.where(pathless).withColumn("reject_reason", F.lit(EMPTY_PATH)))
     )

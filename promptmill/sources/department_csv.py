@@ -27,14 +27,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from promptmill.sources.images import plain_path
 from promptmill.workspace import escape_glob, materialize, path_exists
 
 # The department folders and their names.
@@ -49,9 +46,9 @@ DEPARTMENTS = {
 
 # The encodings tried, in this order. Every gb2312 text is valid
 # gbk, so it needs no check of its own.
-REFERENCE_ORDER = ("gbk", "gb2312", "gb18030", "utf-8")
+GBK_FIRST = ("gbk", "gb2312", "gb18030", "utf-8")
 UTF8_FIRST = ("utf-8", "gbk", "gb2312", "gb18030")
-ENCODING_ORDERS = {"reference": REFERENCE_ORDER, "utf8_first": UTF8_FIRST}
+ENCODING_ORDERS = {"gbk_first": GBK_FIRST, "utf8_first": UTF8_FIRST}
 _CHECKED = ("gbk", "gb18030", "utf-8")
 
 # A broadcast split takes about 50 bytes. At 128 MB per split this many stand
@@ -112,7 +109,7 @@ def _folder_of(path: Column) -> Column:
     return F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1)
 
 
-_FILES_SCHEMA = "path string, dept_dir string, length long"
+_FILES_SCHEMA = "file long, path string, dept_dir string"
 
 
 def scan_department_files(spark: SparkSession, folders: DepartmentFolders) -> DataFrame:
@@ -124,7 +121,8 @@ def scan_department_files(spark: SparkSession, folders: DepartmentFolders) -> Da
     if not globs:
         return spark.createDataFrame([], _FILES_SCHEMA)
     listing = spark.read.format("binaryFile").load(globs)
-    return listing.select("path", _folder_of(F.col("path")).alias("dept_dir"), "length")
+    path = F.col("path")
+    return listing.select(_file_key().alias("file"), path, _folder_of(path).alias("dept_dir"))
 
 
 def _matching(spark: SparkSession, folders: DepartmentFolders) -> list[str]:
@@ -135,15 +133,20 @@ def _matching(spark: SparkSession, folders: DepartmentFolders) -> list[str]:
     return [glob for glob, path in paths if path.getFileSystem(conf).globStatus(path)]
 
 
+def _file_key() -> Column:
+    """64-bit key of a file, the same for every way of reading it."""
+    return F.xxhash64("_metadata.file_path")
+
+
 def _read_lines(spark: SparkSession, globs: list[str]) -> DataFrame:
-    """Undecoded lines with the file and the split they come from."""
-    uri, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    """Undecoded lines with keys of the file and the split they come from."""
+    start = F.col("_metadata.file_block_start")
     return (
         spark.read.option("lineSep", "\n")
         .text(globs)
         .select(
-            F.xxhash64(uri, start).alias("split"),
-            uri.alias("uri"),
+            F.xxhash64("_metadata.file_path", start).alias("split"),
+            _file_key().alias("file"),
             start.alias("start"),
             F.col("value").cast("binary").alias("line"),
         )
@@ -180,7 +183,7 @@ def _valid_encodings(lines: pa.Array, still: int) -> int:
 
 
 _SPLIT_SCHEMA = (
-    "split long, uri string, start long, encodings int, open_if_plain boolean, "
+    "split long, file long, start long, encodings int, open_if_plain boolean, "
     "open_if_quoted boolean, closes_if_quoted boolean"
 )
 
@@ -188,7 +191,7 @@ _SPLIT_SCHEMA = (
 def _summarize_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per split; rows of a split are neighbours because nothing was shuffled."""
     names = [part.split()[0] for part in _SPLIT_SCHEMA.split(", ")]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_()]
 
     def packed(rows: list[list]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -205,8 +208,8 @@ def _summarize_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             if row is None or int(keys[low]) != row[0]:
                 if row:
                     done.append(row)
-                uri, start = batch.column("uri")[low].as_py(), batch.column("start")[low].as_py()
-                row = [int(keys[low]), uri, start, (1 << len(_CHECKED)) - 1, False, True, False]
+                file, start = batch.column("file")[low].as_py(), batch.column("start")[low].as_py()
+                row = [int(keys[low]), file, start, (1 << len(_CHECKED)) - 1, False, True, False]
             row[3] = _valid_encodings(lines.slice(low, high - low), row[3])
             for at in np.flatnonzero(has_quote[low:high]):
                 line = lines[low + int(at)].as_py()
@@ -237,7 +240,7 @@ def _resolve_splits(summaries: DataFrame, order: tuple[str, ...]) -> DataFrame:
     keeps or flips it. So the state before a split is that of the last
     preceding split of the first kind, flipped once per flipping split since.
     """
-    per_file = Window.partitionBy("uri")
+    per_file = Window.partitionBy("file")
     before = (
         per_file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -282,16 +285,7 @@ def _resolve_splits(summaries: DataFrame, order: tuple[str, ...]) -> DataFrame:
                 F.col("open_at_end"), F.lit(MALFORMED)
             ),
         )
-        .select(
-            "split",
-            F.xxhash64("uri").alias("file"),
-            "uri",
-            "start",
-            "quoted",
-            "owner",
-            "encoding",
-            "reject_reason",
-        )
+        .select("split", "file", "start", "quoted", "owner", "encoding", "reject_reason")
     )
 
 
@@ -379,86 +373,104 @@ def _located_runs(batches: Iterator[pa.RecordBatch]):
         yield None
 
 
-def _cut_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records that begin and end within one split.
+def _cut(
+    batches: Iterator[pa.RecordBatch], on_record, on_stretch, on_head, on_end
+) -> Iterator[None]:
+    """Follow the quoting state through each split; yields after every batch.
 
-    A stretch of lines without quotes outside a quoted field is a stretch of
-    records and passes as an Arrow slice; Python looks only at lines with quotes.
+    Calls ``on_record(split, offset, valid_for, early, record)`` for a record
+    with quotes, ``on_stretch`` with arrays for a stretch of records without
+    any, ``on_head(split, offsets, lines)`` for lines that belong to a record
+    from before the split, and ``on_end(split, tracks)`` behind its last line.
     """
     tracks: list[_Track] = []
-    chunks: list[pa.RecordBatch] = []
-
-    def put(split: int, offsets, valid_for: int, early: list[bool], records: pa.Array) -> None:
-        n = len(records)
-        split_column = pa.repeat(pa.scalar(split, pa.int64()), n)
-        valid_column = pa.repeat(pa.scalar(valid_for, pa.int32()), n)
-        columns = [split_column, offsets, valid_column, early, records]
-        chunks.append(_batch(_RECORD_SCHEMA, columns))
-
+    current = None
     for run in _located_runs(batches):
         if run is None:
-            if chunks:
-                yield pa.Table.from_batches(chunks).combine_chunks().to_batches()[0]
-                chunks.clear()
+            yield
             continue
         fresh, split, offsets, lines, has_quote = run
         if fresh:
-            tracks = [_Track(_PLAIN), _Track(_QUOTED)]
+            if current is not None:
+                on_end(current, tracks)
+            current, tracks = split, [_Track(_PLAIN), _Track(_QUOTED)]
         at = 0
         for quote_at in [*np.flatnonzero(has_quote).tolist(), len(lines)]:
             stretch = lines.slice(at, quote_at - at)
             for track in tracks:
-                valid_for = track.assumption if len(tracks) == 2 else _EITHER
-                if len(stretch) and not track.quoted:
+                if quote_at == at:
+                    pass
+                elif not track.quoted:
                     early = np.zeros(len(stretch), bool)
                     if track.n_early < 2:
                         early[:] = [track.early(line.as_py()) for line in stretch]
-                    put(split, offsets[at:quote_at], valid_for, early, stretch)
-                elif len(stretch) and track.pending is not None:
+                    on_stretch(split, offsets[at:quote_at], track.assumption, early, stretch)
+                elif track.pending is None:
+                    on_head(split, offsets[at:quote_at], stretch)
+                else:
                     track.hold(int(offsets[at]), stretch.to_pylist())
                 if quote_at < len(lines):
+                    if track.pending is None:
+                        on_head(split, offsets[quote_at : quote_at + 1], lines.slice(quote_at, 1))
                     record = track.feed(int(offsets[quote_at]), lines[quote_at].as_py())
                     if record is not None:
-                        early = [track.early(record)]
-                        put(split, [track.offset], valid_for, early, pa.array([record], pa.binary()))
+                        early = track.n_early < 2 and track.early(record)
+                        on_record(split, track.offset, track.assumption, early, record)
             if len(tracks) == 2 and not tracks[0].quoted and not tracks[1].quoted:
                 # Both assumptions agree from here on.
                 tracks[0].n_early = min(track.n_early for track in tracks)
+                tracks[0].assumption = _EITHER
                 tracks = tracks[:1]
             at = quote_at + 1
+    if current is not None:
+        on_end(current, tracks)
+    yield
+
+
+def _cut_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records that begin and end within one split."""
+    single: list[tuple] = []
+    chunks: list[pa.RecordBatch] = []
+
+    def stretch(split, offsets, valid_for, early, records) -> None:
+        splits = pa.repeat(pa.scalar(split, pa.int64()), len(records))
+        valid = pa.repeat(pa.scalar(valid_for, pa.int32()), len(records))
+        chunks.append(_batch(_RECORD_SCHEMA, [splits, offsets, valid, early, records]))
+
+    def record(*row) -> None:
+        single.append(row)
+
+    for _ in _cut(batches, record, stretch, lambda *_: None, lambda *_: None):
+        if single:
+            yield _batch(_RECORD_SCHEMA, list(zip(*single)))
+            single.clear()
+        if chunks:
+            yield pa.Table.from_batches(chunks).combine_chunks().to_batches()[0]
+            chunks.clear()
 
 
 def _cut_boundary_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First and last lines of a split that belong to a record crossing its bounds."""
     out: list[tuple] = []
-    current, tracks = None, []
 
-    def tails() -> list[tuple]:
-        return [
-            (current, track.offset + n, track.assumption, "tail", line)
-            for track in tracks
-            if track.quoted and track.pending
-            for n, line in enumerate(track.pending)
-        ]
-
-    for run in _located_runs(batches):
-        if run is None:
-            if out:
-                yield _batch(_PIECE_SCHEMA, list(zip(*out)))
-                out = []
-            continue
-        fresh, split, offsets, lines, _ = run
-        if fresh:
-            out.extend(tails())
-            current, tracks = split, [_Track(_PLAIN), _Track(_QUOTED)]
+    def head(split, offsets, lines) -> None:
         for offset, line in zip(offsets.tolist(), lines.to_pylist()):
-            for track in tracks:
-                if track.pending is None:
-                    out.append((split, offset, track.assumption, "head", line))
-                track.feed(offset, line)
-    out.extend(tails())
-    if out:
-        yield _batch(_PIECE_SCHEMA, list(zip(*out)))
+            out.append((split, offset, _QUOTED, "head", line))
+
+    def tail(split, tracks) -> None:
+        for track in tracks:
+            if track.quoted:
+                # Offsets only have to keep the order of the lines.
+                for n, line in enumerate(track.pending or []):
+                    out.append((split, track.offset + n, track.assumption, "tail", line))
+
+    def ignore(*_) -> None:
+        return None
+
+    for _ in _cut(batches, ignore, ignore, head, tail):
+        if out:
+            yield _batch(_PIECE_SCHEMA, list(zip(*out)))
+            out.clear()
 
 
 # Which pieces fit the real state at the start of their split.
@@ -467,7 +479,7 @@ _VALID_HERE = "valid_for = 2 OR valid_for = CAST(quoted AS INT)"
 
 def _boundary_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     """Records that cross split bounds, one group per record."""
-    pieces = lines.mapInArrow(_cut_boundary_pieces, _PIECE_SCHEMA)
+    pieces = lines.select("split", "line").mapInArrow(_cut_boundary_pieces, _PIECE_SCHEMA)
     begins = F.when(F.col("role") == "tail", F.col("start")).otherwise(F.col("owner"))
     owned = pieces.join(splits, "split").where(_VALID_HERE).withColumn("begins", begins)
     ordered = F.array_sort(F.collect_list(F.struct("start", "offset", "piece")))
@@ -486,26 +498,51 @@ def _boundary_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def _parse_records(record: pd.Series, encoding: pd.Series) -> pd.Series:
-    """Fields of the records in each text; blank lines give none.
+def _fields_of(text: str) -> list[list[str]]:
+    """Fields of the records in a text; blank lines give none.
 
     A lone carriage return ends a record too, so one text may hold several.
     """
-    csv.field_size_limit(2**31 - 1)
+    if text.endswith("\r"):
+        text = text[:-1]
+    if not text.strip(" \t\r"):
+        return []
+    if '"' not in text and "\r" not in text:
+        return [text.split(",")]
+    rows = csv.reader(io.StringIO(text, newline=""))
+    return [row for row in rows if row and (len(row) > 1 or row[0].strip(" \t") or '"' in text)]
 
-    def parsed(raw: bytes, name: str) -> list[list[str]]:
-        text = raw.decode(name)
-        if text.endswith("\r"):
-            text = text[:-1]
-        if not text.strip(" \t\r"):
-            return []
-        if '"' not in text and "\r" not in text:
-            return [text.split(",")]
-        rows = csv.reader(io.StringIO(text, newline=""))
-        return [row for row in rows if row and (len(row) > 1 or row[0].strip(" \t") or '"' in text)]
 
-    return pd.Series([parsed(r, e) for r, e in zip(record, encoding)])
+_PARSED_SCHEMA = "file long, place long, early boolean, width int, fields array<string>"
+
+
+def _parse_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Decoded fields per record. Its place is the byte offset of its text plus
+    its number therein; every record takes a byte at least, so places are distinct.
+    """
+    csv.field_size_limit(2**31 - 1)
+    for batch in batches:
+        cells: list[str] = []
+        bounds, texts, numbers = [0], [], []
+        raw, encodings = batch.column("record").to_pylist(), batch.column("encoding").to_pylist()
+        for at, (record, encoding) in enumerate(zip(raw, encodings)):
+            for number, fields in enumerate(_fields_of(record.decode(encoding))):
+                cells.extend(fields)
+                bounds.append(len(cells))
+                texts.append(at)
+                numbers.append(number)
+        index = pa.array(texts, pa.int64())
+        ends = np.array(bounds, np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("file").take(index),
+                pc.add(batch.column("offset").take(index), pa.array(numbers, pa.int64())),
+                batch.column("early").take(index),
+                pa.array(np.diff(ends)),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(cells, pa.string())),
+            ],
+            ["file", "place", "early", "width", "fields"],
+        )
 
 
 @dataclass(frozen=True)
@@ -527,7 +564,7 @@ def read_department_rows(
 ) -> DepartmentRows:
     """Read all records of all files, each file in the first encoding that fits it.
 
-    ``order`` is ``"utf8_first"``, or ``"reference"`` to try the Chinese
+    ``order`` is ``"utf8_first"``, or ``"gbk_first"`` to try the Chinese
     encodings first; that order reads some UTF-8 texts as other characters.
     """
     encodings = ENCODING_ORDERS[order]
@@ -549,19 +586,19 @@ def read_department_rows(
     found = splits.agg(
         F.count(F.lit(1)).alias("n"),
         F.countDistinct("split").alias("n_keys"),
-        F.countDistinct("file").alias("n_files"),
-        F.countDistinct("uri").alias("n_uris"),
         F.coalesce(F.bool_or("quoted"), F.lit(False)).alias("any_quoted"),
     ).first()
-    if found["n_keys"] != found["n"] or found["n_files"] != found["n_uris"]:
-        raise RuntimeError("two input splits share a 64-bit key; read the folders separately")
+    n_files = listing.agg(F.countDistinct("file"), F.countDistinct("path")).first()
+    if found["n_keys"] != found["n"] or n_files[0] != n_files[1]:
+        raise RuntimeError("two files or splits share a 64-bit key; read the folders separately")
     usable = splits.where(F.col("reject_reason").isNull())
     keyed = usable.select("split", "file", "start", "quoted", "encoding")
     if found["n"] <= MAX_BROADCAST_SPLITS:
         keyed = F.broadcast(keyed)
 
     records = (
-        lines.mapInArrow(_cut_records, _RECORD_SCHEMA)
+        lines.select("split", "line")
+        .mapInArrow(_cut_records, _RECORD_SCHEMA)
         .join(keyed, "split")
         .where(_VALID_HERE)
         .select(
@@ -572,22 +609,7 @@ def read_department_rows(
     if found["any_quoted"]:
         records = records.unionByName(_boundary_records(lines, usable))
 
-    # Every part of a record takes at least one byte, so places stay distinct.
-    parsed = materialize(
-        records.select(
-            "file",
-            "offset",
-            "early",
-            F.posexplode(_parse_records("record", "encoding")).alias("part", "fields"),
-        ).select(
-            "file",
-            (F.col("offset") + F.col("part")).alias("place"),
-            "early",
-            F.size("fields").alias("width"),
-            "fields",
-        ),
-        "csv-records",
-    )
+    parsed = materialize(records.mapInArrow(_parse_records, _PARSED_SCHEMA), "csv-records")
     rank = F.row_number().over(Window.partitionBy("file").orderBy("place"))
     first_two = parsed.where("early").withColumn("rank", rank).where("rank <= 2")
     heads = first_two.groupBy("file").agg(
@@ -601,12 +623,11 @@ def read_department_rows(
     columns = F.greatest(F.size("header"), F.col("first_width"))
     verdicts = (
         splits.where("start = 0")
-        .select("file", "uri", "encoding", F.col("reject_reason").alias("split_reason"))
+        .select("file", "encoding", F.col("reject_reason").alias("split_reason"))
         .join(heads, "file", "left")
         .join(widths, "file", "left")
         .select(
             "file",
-            plain_path(F.col("uri")).alias("path"),
             "encoding",
             "header",
             "header_at",
@@ -618,28 +639,15 @@ def read_department_rows(
             ).alias("reject_reason"),
         )
     )
+    files = listing.join(verdicts, "file", "left")
     rows = (
         parsed.select("file", "place", "fields")
-        .join(verdicts.where(F.col("reject_reason").isNull()), "file")
+        .join(files.where(F.col("reject_reason").isNull()), "file")
         .where("place > header_at")
-        .select(
-            "path", _folder_of(F.col("path")).alias("dept_dir"), "encoding", "header", "fields", "shift"
-        )
+        .select("path", "dept_dir", "encoding", "header", "fields", "shift")
     )
-    bare = F.regexp_replace("path", r"^[a-z0-9]+:/+", "/")
-    files = (
-        listing.withColumn("bare", bare)
-        .join(
-            verdicts.select(bare.alias("bare"), "encoding", "header", "reject_reason"),
-            "bare",
-            "left",
-        )
-        .select(
-            "path",
-            "dept_dir",
-            "encoding",
-            "header",
-            "reject_reason",
-        )
+    return DepartmentRows(
+        rows,
+        files.select("path", "dept_dir", "encoding", "header", "reject_reason"),
+        folders.missing(spark),
     )
-    return DepartmentRows(rows, files, folders.missing(spark))

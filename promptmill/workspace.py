@@ -62,3 +62,16 @@ def ship_package(spark: SparkSession) -> None:
         target, "zip", os.path.dirname(package), os.path.basename(package)
     )
     context.addPyFile(archive)
+
+
+def prepare_session(spark: SparkSession) -> None:
+    """Settings and files the operators count on; safe to call again.
+
+    Skewed joins are split even where that costs one more shuffle, because the
+    rows of one prompt or picture are often joined and then grouped by the same
+    key, and Spark would otherwise leave a hot key in one task.
+    """
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    ship_package(spark)

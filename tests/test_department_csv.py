@@ -118,7 +118,7 @@ def test_encoding_orders(spark, tmp_path):
     }
     write(tmp_path / "d", files)
     folders = source.DepartmentFolders(str(tmp_path), {"d": "D"})
-    for order in ("reference", "utf8_first"):
+    for order in ("gbk_first", "utf8_first"):
         result = source.read_department_rows(spark, folders, order)
         got = {r.path.rsplit("/", 1)[1]: r for r in result.files.collect()}
         assert got["gbk.csv"].encoding == "gbk"
@@ -126,7 +126,7 @@ def test_encoding_orders(spark, tmp_path):
         assert got["gb18030.csv"].encoding == "gb18030"
         assert got["broken.csv"].reject_reason == source.UNDECODABLE
         cells = {tuple(r.fields) for r in result.rows.collect()}
-        assert (("鍙戠儳", "x") if order == "reference" else ("发烧", "x")) in cells
+        assert (("鍙戠儳", "x") if order == "gbk_first" else ("发烧", "x")) in cells
         assert ("x\n😀", "y") in cells
 
 
