@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from promptmill.llm.shared import read_table, tokenizer_path
 from promptmill.llm.token_counts import token_count_report
+from promptmill.llm.token_files import token_file_digest
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digest(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +20,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_files": op2_token_files,
     "op10_token_counts": op10_token_counts,
 }
 
