@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from promptmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
 from promptmill.llm.shared import read_table, tokenizer_path
 from promptmill.llm.token_counts import token_count_report
 from promptmill.llm.token_files import token_file_digest
@@ -15,13 +16,20 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count_report(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
+    "op4_line_dedup": op4_line_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": LINE_DEDUP_SQL,
+}
