@@ -6,30 +6,55 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from promptmill.llm.langid import language_report
 from promptmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
+from promptmill.llm.quality import quality_report
+from promptmill.llm.secrets import secret_report
 from promptmill.llm.shared import read_table, tokenizer_path
 from promptmill.llm.token_counts import token_count_report
 from promptmill.llm.token_files import token_file_digest
+from promptmill.llm.url_rules import url_report, url_rules_sql
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(read_table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(read_table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(read_table(spark, sf_dir, "documents"))
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_report(read_table(spark, sf_dir, "pages"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count_report(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
+    "op3_secret_scan": op3_secret_scan,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_language_id": op6_language_id,
+    "op8_url_rules": op8_url_rules,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": LINE_DEDUP_SQL,
+    "op8_url_rules": url_rules_sql(),
 }
