@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from promptmill.llm.decontaminate import CONTAMINATION_SQL, contamination_report
 from promptmill.llm.langid import language_report
 from promptmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
 from promptmill.llm.quality import quality_report
@@ -40,6 +41,10 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_report(read_table(spark, sf_dir, "pages"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count_report(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -51,10 +56,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op8_url_rules": op8_url_rules,
+    "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": LINE_DEDUP_SQL,
     "op8_url_rules": url_rules_sql(),
+    "op9_decontamination": CONTAMINATION_SQL,
 }
