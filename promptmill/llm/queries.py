@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from promptmill.llm.decontaminate import CONTAMINATION_SQL, contamination_report
 from promptmill.llm.langid import language_report
 from promptmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
+from promptmill.llm.near_dup import near_duplicate_report
 from promptmill.llm.quality import quality_report
 from promptmill.llm.secrets import secret_report
 from promptmill.llm.shared import read_table, tokenizer_path
@@ -37,6 +38,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_report(read_table(spark, sf_dir, "pages"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_url_rules": op8_url_rules,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
