@@ -13,11 +13,16 @@ from promptmill.llm.near_dup import near_duplicate_report
 from promptmill.llm.quality import quality_report
 from promptmill.llm.secrets import secret_report
 from promptmill.llm.shared import read_table, tokenizer_path
+from promptmill.llm.spm import piece_report
 from promptmill.llm.token_counts import token_count_report
 from promptmill.llm.token_files import token_file_digest
 from promptmill.llm.url_rules import url_report, url_rules_sql
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_report(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -55,6 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_token_files": op2_token_files,
     "op3_secret_scan": op3_secret_scan,
     "op4_line_dedup": op4_line_dedup,
