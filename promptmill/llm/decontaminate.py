@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promptmill.llm.shared import broadcast_if_small
 from promptmill.workspace import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -161,9 +162,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """The rows of ``docs`` without any benchmark window, columns as they are."""
-    hits = materialize(find_passages(docs, benchmark, window, text).select("digest"), "passages")
-    digest = F.coalesce(F.md5(F.encode(text, "UTF-8")), F.lit(""))
-    return docs.join(hits, digest == hits.digest, "left_anti")
+    hits = find_passages(docs, benchmark, window, text).select(F.col("digest").alias("__hit"))
+    hits = broadcast_if_small(materialize(hits, "passages"))
+    return docs.join(hits, F.md5(F.encode(text, "UTF-8")) == F.col("__hit"), "left_anti")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.llm.components import connected_components
-from promptmill.llm.shared import ready, slices, utf8
+from promptmill.llm.shared import broadcast_if_small, ready, slices, utf8
 from promptmill.workspace import materialize
 
 WORDS = 5
@@ -285,8 +285,7 @@ def _links(sets: DataFrame, units: DataFrame) -> DataFrame:
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     """(node, shingles as bytes) of the rows whose (text_code, key) is wanted."""
-    if wanted.count() <= MAX_BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    wanted = broadcast_if_small(wanted, MAX_BROADCAST_ROWS)
     picked = docs.join(
         wanted, (docs.text_code == wanted.w_code) & docs.key.eqNullSafe(wanted.w_key), "left_semi"
     )
@@ -348,7 +347,19 @@ def near_duplicate_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows whose key names their class (rows without words all stay); columns as they are."""
-    found = near_duplicate_classes(docs, key, text)
-    gone = materialize(found.where("class_id <> key").select(F.col("key").alias("gone")), "near-duplicates")
-    return docs.join(gone, docs[key].cast("bigint") == gone.gone, "left_anti")
+    """One row of each class, that with the key that names it; columns as they are.
+
+    Rows without words and rows without a key all stay. Rows repeated with key
+    and text stay once.
+    """
+    found = materialize(near_duplicate_classes(docs, key, text).select("key", "class_id"), "near-duplicates")
+    gone = found.where("class_id <> key").select(F.col("key").alias("__gone"))
+    kept = docs.join(broadcast_if_small(gone), docs[key].cast("bigint") == F.col("__gone"), "left_anti")
+    repeated = found.where("key IS NOT NULL").groupBy("key").count().where("count > 1")
+    repeated = materialize(repeated.select(F.col("key").alias("__again")), "repeated-keys")
+    if repeated.isEmpty():
+        return kept
+    again = broadcast_if_small(repeated)
+    same = kept[key].cast("bigint") == F.col("__again")
+    once = kept.join(again, same, "left_semi").dropDuplicates([key, text])
+    return kept.join(again, same, "left_anti").unionByName(once)

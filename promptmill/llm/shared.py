@@ -58,6 +58,11 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYT
             start, before = stop, int(ends[stop - 1])
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A join side marked for broadcast if it has at most ``rows`` (short) rows; else Spark joins by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     """A batch with columns set, those of the same name replaced in place."""
     names, arrays = list(batch.schema.names), list(batch.columns)
