@@ -104,10 +104,9 @@ def guess_cost(value: str, longest_period: int = 8) -> float:
         for period in range(1, longest_period + 1):
             same = stop > period and value[stop - 1] == value[stop - 1 - period]
             runs[period] = runs[period] + 1 if same else 0
-            times, rest = divmod(runs[period], period)
-            if times and not rest:
-                first = stop - runs[period]  # the end of the block that is repeated
-                least = min(least, best[first] + math.log10(times + 1))
+            times = runs[period] // period  # as many copies of the block before as end here
+            if times:
+                least = min(least, best[stop - times * period] + math.log10(times + 1))
         best[stop] = least
     return best[n]
 

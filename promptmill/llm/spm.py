@@ -225,7 +225,7 @@ class StreamingViterbi:
 
 
 class PieceCodec:
-    """Encodes and decodes whole texts with a model, as the library would.
+    """Encodes and decodes whole texts with a model.
 
     Where no piece goes on behind a space into a next word, the boundary ahead of
     a space is one that all paths share, whatever follows. Words between two such
@@ -338,8 +338,9 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", out: str = "i
     """``docs`` with the SentencePiece ids of each whole text in ``out`` (array of int).
 
     ``model`` is the path of a unigram or BPE ``.model`` file, read once on the
-    driver and broadcast. Ids are those of the library without begin and end
-    marks. A null or empty text has none. Rows are independent: repeated rows get
+    driver and broadcast. Ids of a BPE model are those of the library without
+    begin and end marks; of a unigram model those of the highest sum of scores
+    (in double precision, of equals the one with the longest last piece). A null or empty text has none. Rows are independent: repeated rows get
     the same ids, other columns stay, a column named ``out`` is replaced, an empty
     table stays empty. A text of any length is searched with a window bounded by
     the longest piece.
