@@ -19,9 +19,11 @@ WORDS = 5
 BANDS, ROWS = 25, 5
 #: Numerator and denominator of the least similarity, so that it is compared exactly.
 LEAST = (4, 5)
-#: Bytes of text sketched at once, and shingles that a block of one crowd holds.
+#: Bytes of text sketched at once.
 SKETCH_BYTES = 1 << 20
-BLOCK_SHINGLES = 400_000
+#: Shingles that a block of one crowd holds, at least and at most; in between a crowd is cut into so many parts.
+BLOCK_SHINGLES = (20_000, 400_000)
+CROWD_PARTS = 16
 #: So many texts are picked by a broadcast of their keys; beyond it by a shuffle.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -204,20 +206,22 @@ def _crowds(sketches: DataFrame) -> DataFrame:
 def _blocks(members: DataFrame) -> DataFrame:
     """(node, unit): the units in which a node meets all others of its crowd that its size lets it resemble.
 
-    A crowd whose shingles fill one block is one unit. A larger one is cut into
+    A crowd whose shingles fill one small block is one unit. A larger one is cut into
     classes by size, so wide that similar sets lie in the same or in neighbouring
     classes, and these into blocks by hash; a unit is a pair of such blocks.
     """
     width = F.log(F.lit(LEAST[1] / LEAST[0]))
     classed = members.withColumn("class", F.floor(F.log("size") / width + F.lit(1e-9)).cast("int"))
     sums = classed.groupBy("crowd", "class").agg(F.sum("size").alias("held"))
+    least, most = BLOCK_SHINGLES
     per_crowd = sums.groupBy("crowd").agg(
-        F.sum("held").alias("total"),
-        F.map_from_entries(
-            F.collect_list(F.struct("class", F.ceil(F.col("held") / BLOCK_SHINGLES).cast("int").alias("n")))
-        ).alias("blocks"),
+        F.sum("held").alias("total"), F.collect_list(F.struct("class", "held")).alias("classes")
     )
-    per_crowd = materialize(per_crowd, "crowds")
+    block = F.least(F.greatest(F.col("total") / CROWD_PARTS, F.lit(least)), F.lit(most))
+    counts = F.transform(
+        "classes", lambda c: F.struct(c["class"].alias("class"), F.ceil(c["held"] / block).cast("int").alias("n"))
+    )
+    per_crowd = materialize(per_crowd.select("crowd", "total", F.map_from_entries(counts).alias("blocks")), "crowds")
     placed = classed.join(per_crowd, "crowd")
     own = F.pmod(F.xxhash64("node", F.lit("block")), F.element_at("blocks", F.col("class"))).cast("int")
     placed = placed.select("node", "crowd", "class", "total", "blocks", own.alias("own"))
@@ -233,7 +237,7 @@ def _blocks(members: DataFrame) -> DataFrame:
         return F.transform(theirs, pair)
 
     pairs = F.array_distinct(F.concat(partners(-1), partners(0), partners(1)))
-    one = F.col("total") <= BLOCK_SHINGLES
+    one = F.col("total") <= least
     return placed.select("node", F.explode(F.when(one, F.array(F.xxhash64("crowd"))).otherwise(pairs)).alias("unit"))
 
 
@@ -313,8 +317,8 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     together at once. Bands of DartMinHash signatures find the candidates; within
     what shared bands connect (a crowd) similarities are counted exactly in
     blocks of bounded size, and only links that connect something leave a task.
-    The work in a crowd grows with its number of blocks squared; crowds of up to
-    400,000 shingles of different texts are one block.
+    The work in a crowd grows with its number of blocks squared, where a block
+    has up to 400,000 shingles of different texts; copies take no part in it.
 
     Null and empty texts and others without words are each a class of their own,
     named by their key. Keys should be unique and not null: rows that share a key

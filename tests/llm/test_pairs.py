@@ -186,7 +186,7 @@ def near_rows(n_groups=6, copies=40, seed=1):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("block", [400_000, 1500])
+@pytest.mark.parametrize("block", [(20_000, 400_000), (1500, 1500), (300, 2000)])
 def test_classes(spark, monkeypatch, block):
     monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", block)
     rows = near_rows()
