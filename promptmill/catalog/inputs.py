@@ -78,7 +78,12 @@ def prompt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def completion_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One completion per order, in six layouts, for the prompt of its customer."""
-    answer = (F.col("o_orderkey") % 4).cast("string")
+    kind = F.col("o_orderkey") % 11
+    answer = (
+        F.when(kind == 0, "-7").when(kind == 1, "7.0").when(kind == 2, "seven")
+        .when(kind == 3, "²").when(kind == 4, "")
+        .otherwise((F.col("o_orderkey") % 4).cast("string"))
+    )
     thought = F.concat(F.lit("priority "), F.col("o_orderpriority"))
     strict = format_xml_cot(thought, answer)
     layout = F.col("o_orderkey") % 6

@@ -48,6 +48,7 @@ labelled AS (
         FROM {source}))"""
 
 
+# The system text, the heads of the templates and the departments.
 SYSTEM_TEXT = (
     "\nRespond in the following format:\n<reasoning>\n...\n</reasoning>\n"
     "<answer>\n...\n</answer>\n"
@@ -74,7 +75,9 @@ completions AS (
       ELSE '<reasoning>' || n || thought || n || '</reasoning>' || n || '<answer>' || n
                   || a || n || '</answer>' END AS completion
   FROM (SELECT o_orderkey AS gen_id, o_custkey AS prompt_id, o_orderstatus AS status,
-               'priority ' || o_orderpriority AS thought, CAST(o_orderkey % 4 AS VARCHAR) AS a,
+               'priority ' || o_orderpriority AS thought,
+               CASE o_orderkey % 11 WHEN 0 THEN '-7' WHEN 1 THEN '7.0' WHEN 2 THEN 'seven'
+                 WHEN 3 THEN '²' WHEN 4 THEN '' ELSE CAST(o_orderkey % 4 AS VARCHAR) END AS a,
                o_orderkey % 6 AS layout, chr(10) AS n
         FROM orders))"""
 
@@ -126,7 +129,7 @@ scores AS (
          {XML_COUNT} AS reward_xml_count,
          {points(SOFT, 0.5)} AS reward_soft_format,
          {points(STRICT, 0.5)} AS reward_strict_format,
-         {points("regexp_matches(extracted, '^[0-9]+$')", 0.5)} AS reward_integer,
+         {points("regexp_matches(extracted, '^[0-9²]+$')", 0.5)} AS reward_integer,
          {points("extracted = gold", 2.0)} AS reward_correctness
   FROM (SELECT c.*, {EXTRACTED} AS extracted, gold
         FROM completions c LEFT JOIN prompts USING (prompt_id))),
@@ -148,6 +151,7 @@ solutions AS (
               ELSE CAST(o_orderkey % 100 AS VARCHAR) END AS answer
   FROM orders)"""
 
+# Fixed value.
 INSTRUCTION_HEAD = (
     "Below is an instruction that describes a task,\n"
     "paired with an input that provides further context.\n"
@@ -168,12 +172,14 @@ def instruction_text(instruction: str, given: str, response: str) -> str:
 
 
 CONVERSATION = "'conversation ' || CAST(conv_id AS VARCHAR)"
+# Fixed value.
 MEDICAL_HEAD = "你是一个专业的医疗助手。请根据患者的问题提供专业、准确的回答。\n\n### 问题：\n"
 QA_TEXT = (
     f"{quoted(MEDICAL_HEAD)} || question || {quoted(chr(10) * 2 + '### 回答：' + chr(10))}"
     f" || answer || {quoted(EOS)}"
 )
 
+# Fixed values.
 DEPARTMENTS = """
 departments(number, dept_dir, department) AS (VALUES
   (0, 'IM_内科', '内科'), (1, 'Surgical_外科', '外科'), (2, 'Pediatric_儿科', '儿科'),
@@ -194,8 +200,7 @@ words AS (
   FROM (SELECT doc_id, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS body FROM documents))"""
 
 PLACED = TOKENS + """,
-sized AS (SELECT doc_id, tokens[1:2048] AS tokens, least(len(tokens), 2048) AS n_tokens
-          FROM words WHERE len(tokens) > 0),
+sized AS (SELECT doc_id, tokens, len(tokens) AS n_tokens FROM words WHERE len(tokens) > 0),
 placed AS (
   SELECT *, CAST(sum(n_tokens) OVER (ORDER BY md5('3407:' || doc_id), doc_id) AS BIGINT)
             - n_tokens AS start
@@ -259,7 +264,7 @@ ORACLES = {
         CAST(len(tokens) AS BIGINT) AS n_words FROM words JOIN documents USING (doc_id)""",
     "preview_first": """SELECT doc_id, substr(text, 1, 1000) AS preview
         FROM documents ORDER BY doc_id LIMIT 1""",
-    "clean_qa": f"""WITH {RAW_QA}, {labelled('raw_qa', 200)}
+    "clean_qa": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}
         SELECT '请回答以下医疗相关问题' AS instruction, question AS input, answer AS output,
                conv_id, turn FROM labelled WHERE reject_reason IS NULL""",
     "clean_qa_compatible": f"""WITH {RAW_QA},
@@ -276,9 +281,10 @@ ORACLES = {
     "kept_count": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}
         SELECT count(*) AS n_rows FROM labelled WHERE reject_reason IS NULL""",
     "alias_columns": f"""WITH {USERS} SELECT conv_id, turn,
-        question AS question_raw,
-        CASE conv_id % 3 WHEN 2 THEN CAST(conv_id AS VARCHAR) ELSE answer END AS answer_raw,
-        TRUE AS answer_known FROM users""",
+        CASE WHEN conv_id % 4 < 3 THEN question END AS question_raw,
+        CASE conv_id % 4 WHEN 2 THEN CAST(conv_id AS VARCHAR) WHEN 3 THEN NULL ELSE answer END
+          AS answer_raw,
+        conv_id % 4 < 3 AS answer_known FROM users""",
     "union_sources": """
         SELECT 'documents' AS origin, doc_id AS id, text, lang FROM documents
         UNION ALL SELECT 'benchmark', item_id, text, NULL FROM benchmark
@@ -332,10 +338,14 @@ ORACLES = {
                      stddev_samp(reward_total) OVER g AS std, min(reward_total) OVER g AS low,
                      max(reward_total) OVER g AS high
               FROM scored WINDOW g AS (PARTITION BY prompt_id))""",
+    "reward_messages": f"{ALL_SCORES} SELECT gen_id, {SCORE_COLUMNS}, reward_total FROM scored",
+    "best_of_n": f"""{ALL_SCORES} SELECT prompt_id, gen_id, completion, reward_total
+        FROM (SELECT *, row_number() OVER (PARTITION BY prompt_id ORDER BY reward_total DESC, gen_id)
+              AS place FROM scored) WHERE place = 1""",
     "shuffle_order": """SELECT doc_id, source,
         row_number() OVER (ORDER BY md5('3407:' || doc_id), doc_id) - 1 AS rank FROM documents""",
-    "shuffle_sorted": """SELECT doc_id, lang FROM documents
-        ORDER BY md5('3407:' || doc_id), doc_id""",
+    "shuffle_sorted": """SELECT doc_id, lang,
+        row_number() OVER (ORDER BY md5('3407:' || doc_id), doc_id) - 1 AS place FROM documents""",
     "sample_budget": """SELECT doc_id, n_chars, rank FROM (SELECT doc_id, n_chars,
         row_number() OVER (ORDER BY md5('3407:' || doc_id), doc_id) - 1 AS rank FROM documents)
         WHERE rank < 480""",
@@ -380,6 +390,10 @@ ORACLES = {
           WHEN response IS NULL THEN 'missing_prompt_or_response'
           WHEN toxic = 1 THEN 'undecodable_image' END AS reject_reason
         FROM manifest LEFT JOIN labels ON id = doc_id""",
+    "image_stores": """SELECT id, 's3a://' || bucket || '/pictures/' || id || '.png' AS image_path,
+        CASE WHEN id NOT IN (SELECT doc_id FROM labels) OR (bucket = 'b' AND id % 3 <> 0)
+             THEN 'image_not_found' END AS reject_reason
+        FROM (SELECT doc_id AS id, CASE doc_id % 2 WHEN 0 THEN 'a' ELSE 'b' END AS bucket FROM documents)""",
     "decode_csv": f"""WITH {USERS}, {labelled('users', 1000)}, {DEPARTMENTS}
         SELECT department, 'utf-8' AS encoding, question, coalesce(answer, '') AS answer,
                reject_reason

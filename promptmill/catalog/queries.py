@@ -19,6 +19,7 @@ from promptmill.operators import (
 )
 from promptmill.plans import recipes
 from promptmill.sources import tables
+from promptmill.sources.images import bare_path
 from promptmill.sources.department_csv import DEPARTMENTS, attach_department
 from promptmill.sinks import writers
 from promptmill.streaming import streams
@@ -39,7 +40,7 @@ def format_instruction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def format_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.pairs(spark, sf_dir).select(
+    rows = inputs.turns_with_reply(spark, sf_dir).select(
         "conv_id", "turn", F.col("question").alias("input"), F.col("answer").alias("output")
     )
     return instructions.format_qa(rows, EOS).select("conv_id", "turn", "text")
@@ -116,7 +117,7 @@ def _labelled(spark: SparkSession, sf_dir: str, options=CLEANING) -> DataFrame:
 
 def clean_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     picked = cleaning.pick_qa_columns(inputs.raw_qa(spark, sf_dir))
-    return cleaning.clean_qa(picked, provenance=["conv_id", "turn"])
+    return cleaning.clean_qa(picked, CLEANING, ["conv_id", "turn"])
 
 
 def clean_qa_compatible(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +141,11 @@ def kept_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alias_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Question and answer found by header, which differs from row to row."""
-    kind = F.col("conv_id") % 3
-    headers = [["id", "ask", "response"], ["问题", "question", "回答"], ["answer", "问题", "ask"]]
+    kind = F.col("conv_id") % 4
+    headers = [
+        ["id", "ask", "response"], ["问题", "question", "回答"], ["answer", "问题", "ask"],
+        ["id", "title", "body"],
+    ]
     header = F.get(
         F.array(*[F.array(*[F.lit(name) for name in names]) for names in headers]),
         kind.cast("int"),
@@ -308,12 +312,28 @@ def group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def advantages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = scoring.group_advantage(_scored(spark, sf_dir))
+    # Statistics and rows both read the scores; completions are scored once for them.
+    scored = _scored(spark, sf_dir).select("gen_id", "prompt_id", "reward_total")
+    result = scoring.group_advantage(materialize(scored, "scores"))
     return result.select(
         "gen_id", "prompt_id", (F.round("advantage", 6) + F.lit(0.0)).alias("advantage")
     )
 
 
+def reward_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completions that come as lists of messages; the first one counts."""
+    rows = inputs.completion_rows(spark, sf_dir)
+    spoken = chat.message("assistant", F.col("completion"))
+    rows = rows.withColumn("completion", F.array(spoken, chat.message("user", F.lit("thanks"))))
+    prompts = scoring.build_prompts(inputs.prompt_rows(spark, sf_dir))
+    return recipes.score_reasoning(rows, prompts).select("gen_id", *REWARD_NAMES, "reward_total")
+
+
+def best_of_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = scoring.best_of_n(_scored(spark, sf_dir), "gen_id", keep=("completion",))
+    return best.select("prompt_id", "gen_id", "completion", "reward_total")
+
+
 # --- order, budgets, tokens -------------------------------------------------
 
 
@@ -324,7 +344,7 @@ def shuffle_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shuffle_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    return schedule.seeded_shuffle(docs, ["doc_id"])
+    return schedule.with_place(schedule.seeded_shuffle(docs, ["doc_id"]))
 
 
 def sample_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,27 +389,30 @@ def prompt_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return schedule.limit_tokens(docs, "text", 2048).select("doc_id", "tokens")
+    """All tokens of every document; long documents span several blocks."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", text.whitespace_tokens(F.col("text")).alias("tokens"))
 
 
-def _placements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _token_rows(spark, sf_dir).select(
-        "doc_id", F.size("tokens").cast("long").alias("n_tokens")
-    )
-    # Packing reads its input twice; the texts are split once for it.
-    counts = materialize(counts, "token-counts")
+def _counts(tokens: DataFrame) -> DataFrame:
+    return tokens.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"))
+
+
+def _packed(counts: DataFrame) -> DataFrame:
     return schedule.pack_sequences(counts, ["doc_id"], block_length=2048)
 
 
 def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _placements(spark, sf_dir).select(
+    # Packing reads its input twice; the texts are split once for it.
+    counts = materialize(_counts(_token_rows(spark, sf_dir)), "token-counts")
+    return _packed(counts).select(
         "doc_id", "block_id", "block_offset", "token_from", "token_count"
     )
 
 
 def packed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = _placements(spark, sf_dir).join(_token_rows(spark, sf_dir), "doc_id")
+    tokens = materialize(_token_rows(spark, sf_dir), "tokens")
+    placed = _packed(_counts(tokens)).join(tokens, "doc_id")
     return schedule.assemble_blocks(placed).select(
         "block_id",
         F.size("tokens").cast("long").alias("n_tokens"),
@@ -424,7 +447,9 @@ def vision_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vision_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of decodable pictures with their pixels in RGB order."""
     pictures = inputs.picture_rows(spark, sf_dir)
-    records = vision.vision_records(_manifest(spark, sf_dir), images=pictures, keep=("id",))
+    records = vision.vision_records(
+        _manifest(spark, sf_dir), images=pictures, keep=("id",), with_pixels=True
+    )
     image = F.col("messages")[0]["content"][1]["image"]
     return records.select(
         "id",
@@ -466,6 +491,26 @@ def vision_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("id", "reject_reason")
 
 
+def image_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One picture key in two buckets, one of which lacks most pictures."""
+    key = F.concat(F.lit("//pictures/./"), F.col("doc_id").cast("string"), F.lit(".png"))
+    bucket = F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b")
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.col("lang").alias("prompt"),
+        F.col("source").alias("response"),
+        F.when(bucket == "a", F.concat(F.lit("s3a://a"), key)).otherwise(key).alias("image"),
+    )
+    labels = table(spark, sf_dir, "labels")
+    listed = labels.select(F.concat(F.lit("s3a://a"), key).alias("path")).union(
+        labels.where(F.col("doc_id") % 3 == 0).select(F.concat(F.lit("s3a://b"), key))
+    )
+    options = vision.VisionOptions(base_dir="s3a://b/else")
+    manifest = vision.normalize_manifest(rows, options)
+    labelled = vision.label_manifest(manifest, listed.select(bare_path(F.col("path")).alias("path")))
+    return labelled.select("id", "image_path", "reject_reason")
+
+
 # --- files, sinks, streams --------------------------------------------------
 
 
@@ -492,6 +537,12 @@ def decode_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _written(spark: SparkSession, path: str, partition: str) -> list[str]:
+    """The values of a partition column in files just written; folders, so they are few."""
+    found = spark.read.parquet(path).select(partition).distinct()
+    return sorted(str(row[0]) for row in found.collect())
+
+
 def training_set_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written with one folder per split, read back split by split."""
     path = fresh_dir(spark, "training-set")
@@ -504,7 +555,7 @@ def training_set_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.write_training_set(instructions.format_instructions(docs), path)
     parts = [
         tables.read_instructions(spark, path, split).withColumn("split", F.lit(split))
-        for split in ("de", "en", "es", "fr")
+        for split in _written(spark, path, "split")
     ]
     return cleaning.union_sources(*parts)
 
@@ -518,7 +569,7 @@ def prompt_set_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     subsets = [
         scoring.build_prompts(tables.read_qa_subset(spark, source, subset, schema=schema))
         .withColumn("subset", F.lit(subset))
-        for subset in ("F", "O", "P")
+        for subset in _written(spark, source, "subset")
     ]
     prompts = cleaning.union_sources(*subsets)
     writers.write_prompt_set(prompts, target, format="json")
@@ -600,11 +651,11 @@ QUERIES = {
         hash_answer, xml_answer, xml_cot, chat_prompt, chat_text, chat_exchange, attach_gold,
         reward_correctness, reward_integer, reward_strict_format, reward_soft_format,
         reward_xml_count, reward_total, reward_weighted, reward_python, reward_means,
-        group_stats, advantages,
+        group_stats, advantages, reward_messages, best_of_n,
         shuffle_order, shuffle_sorted, sample_budget, schedule_epochs, schedule_steps,
         token_limit, prompt_limit, pack_blocks, packed_text,
         vision_records, vision_pixels, to_rgb, vision_inference, image_exists, image_missing,
-        vision_rejects,
+        vision_rejects, image_stores,
         decode_csv, training_set_files, prompt_set_files, vision_set_files, reject_files,
         stream_format, stream_score,
     )

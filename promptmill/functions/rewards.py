@@ -66,14 +66,15 @@ def reward_xml_count(completion: Column) -> Column:
     tail = F.length(tail_after_last(completion, "\n</answer>\n"))
     short_tail = F.length(tail_after_last(completion, "\n</answer>")) - F.lit(1)
 
+    # Each count stands in one condition, so a text is searched once per marker.
     score = F.when(once["<reasoning>\n"], share).otherwise(F.lit(0.0))
     score = score + F.when(once["\n</reasoning>\n"], share).otherwise(F.lit(0.0))
-    score = (
-        score + F.when(once["\n<answer>\n"], share).otherwise(F.lit(0.0))
-    ) - F.when(once["\n<answer>\n"], tail * per_char).otherwise(F.lit(0.0))
-    return (
-        score + F.when(once["\n</answer>"], share).otherwise(F.lit(0.0))
-    ) - F.when(once["\n</answer>"], short_tail * per_char).otherwise(F.lit(0.0))
+    opened = F.when(once["\n<answer>\n"], F.struct(share.alias("gain"), (tail * per_char).alias("loss")))
+    closed = F.when(once["\n</answer>"], F.struct(share.alias("gain"), (short_tail * per_char).alias("loss")))
+    for part in (opened, closed):
+        part = F.coalesce(part, F.struct(F.lit(0.0).alias("gain"), F.lit(0.0).alias("loss")))
+        score = score + part["gain"] - part["loss"]
+    return score
 
 
 @dataclass(frozen=True)

@@ -20,16 +20,15 @@ class InstructionOptions:
     compat: bool = False
 
 
-def label_instructions(df: DataFrame, options: InstructionOptions = InstructionOptions()) -> DataFrame:
-    """Add ``reject_reason`` for rows without instruction or output."""
-    if options.compat:
-        return df.withColumn("reject_reason", F.lit(None).cast("string"))
-    return df.withColumn(
-        "reject_reason",
-        F.when(F.col("instruction").isNull(), F.lit("missing_instruction")).when(
-            F.col("output").isNull(), F.lit("missing_output")
-        ),
-    )
+def label_instructions(
+    df: DataFrame,
+    options: InstructionOptions = InstructionOptions(),
+    needed: tuple[str, ...] = ("instruction", "output"),
+) -> DataFrame:
+    """Add ``reject_reason`` for rows that lack a needed cell, named by the first one lacking."""
+    lacking = [F.when(F.col(name).isNull(), F.lit(f"missing_{name}")) for name in needed]
+    reason = F.lit(None).cast("string") if options.compat else F.coalesce(*lacking)
+    return df.withColumn("reject_reason", reason)
 
 
 def format_instructions(df: DataFrame, options: InstructionOptions = InstructionOptions()) -> DataFrame:
@@ -49,11 +48,17 @@ def format_instructions(df: DataFrame, options: InstructionOptions = Instruction
 
 
 def format_qa(df: DataFrame, eos: str, template: str | None = None, compat: bool = False) -> DataFrame:
-    """Add ``text`` from ``input`` and ``output`` alone, unless it is there already."""
+    """Add ``text`` from ``input`` and ``output`` alone, unless it is there already.
+
+    Rows that lack one drop out; ``label_instructions`` with ``needed=("input",
+    "output")`` names them.
+    """
     if "text" in df.columns:
         return df
+    options = InstructionOptions(compat=compat)
+    usable = label_instructions(df, options, ("input", "output")).where("reject_reason IS NULL")
     text = format_qa_prompt(F.col("input"), F.col("output"), eos, template=template, compat=compat)
-    return df.withColumn("text", text)
+    return usable.drop("reject_reason").withColumn("text", text)
 
 
 def select_text_field(df: DataFrame, field: str = "text") -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promptmill.functions.text import whitespace_tokens
+from promptmill.workspace import materialize
 
 # Fixed value: the seed of every recipe.
 DEFAULT_SEED = 3407
@@ -37,6 +38,23 @@ def seeded_shuffle(df: DataFrame, ids: Sequence[str], seed: int = DEFAULT_SEED)
     return df.orderBy(shuffle_key(ids, seed), *ids)
 
 
+def with_place(df: DataFrame) -> DataFrame:
+    """Add ``place``, the 0-based place of each row as the frame is ordered.
+
+    The rows are written once with their partition and number in it; the rows of
+    earlier partitions are counted from one small row per partition.
+    """
+    at = "place_"
+    held = materialize(df.withColumn(at, F.monotonically_increasing_id()), "places")
+    part = F.shiftright(at, 33)
+    sizes = held.groupBy(part.alias("part_")).agg(F.count("*").alias("n_"))
+    ahead = F.sum("n_").over(Window.orderBy("part_")) - F.col("n_")
+    starts = sizes.select("part_", ahead.alias("start_"))
+    joined = held.withColumn("part_", part).join(F.broadcast(starts), "part_")
+    inside = F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    return joined.withColumn("place", F.col("start_") + inside).drop(at, "part_", "start_")
+
+
 def _running_total(
     df: DataFrame,
     ids: Sequence[str],

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promptmill.functions.chat import build_chat_prompt
 from promptmill.functions.rewards import (
@@ -14,7 +15,11 @@ from promptmill.functions.rewards import (
     default_rewards,
     total_reward,
 )
-from promptmill.functions.text import extract_hash_answer, extract_xml_answer
+from promptmill.functions.text import (
+    extract_hash_answer,
+    extract_xml_answer,
+    first_message_content,
+)
 
 
 def build_prompts(df: DataFrame, system_prompt: str | None = None) -> DataFrame:
@@ -51,15 +56,21 @@ def score_completions(
     gold: str = "gold",
     prompt: str | None = None,
 ) -> DataFrame:
-    """Add one double column per reward and their sum ``reward_total``."""
+    """Add one double column per reward and their sum ``reward_total``.
+
+    A completion is a text, or a list of messages whose first one counts.
+    """
     rewards = rewards or default_rewards()
+    spoken = F.col(completion)
+    if isinstance(df.schema[completion].dataType, T.ArrayType):
+        spoken = first_message_content(spoken)
     columns = CompletionColumns(
-        completion=F.col(completion),
+        completion=spoken,
         extracted=F.col("extracted"),
         gold=F.col(gold),
         prompt=F.col(prompt) if prompt else None,
     )
-    scored = df.withColumn("extracted", extract_xml_answer(F.col(completion))).withColumns(
+    scored = df.withColumn("extracted", extract_xml_answer(spoken)).withColumns(
         {name: reward(columns) for name, reward in rewards.items()}
     )
     return scored.withColumn("reward_total", total_reward(rewards.names(), weights))
@@ -90,6 +101,23 @@ def group_reward_stats(
     )
 
 
+def best_of_n(
+    scored: DataFrame,
+    id: str,
+    group: str = "prompt_id",
+    reward: str = "reward_total",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """The row with the highest reward of each group; of equals the one with the smallest id.
+
+    Rows without a reward come last. Rows are combined before they are shuffled,
+    so a group of any size costs one row per input partition.
+    """
+    order = F.struct(F.col(reward).alias("reward"), (-F.col(id)).alias("id"))
+    best = F.max_by(F.struct(id, *keep, reward), order).alias("best")
+    return scored.groupBy(group).agg(best).select(group, "best.*")
+
+
 def _advantage(value: Column, epsilon: float) -> Column:
     deviation = F.col("std_reward") + F.lit(epsilon)
     # Equal rewards differ from their mean by rounding noise at most.

@@ -129,13 +129,12 @@ def vision_records(
     files: DataFrame | None = None,
     images: DataFrame | None = None,
     keep: tuple[str, ...] = (),
-    with_pixels: bool = True,
+    with_pixels: bool = False,
 ) -> DataFrame:
     """Conversations of the manifest rows that pass every check.
 
     With ``images`` (path, image) only decodable ones count, and the records
-    carry their RGB pixels, or just their path and size for
-    ``with_pixels=False``. With ``files`` alone the records carry the path.
+    carry their path and size, or with ``with_pixels`` their RGB pixels. With ``files`` alone the records carry the path.
 
     Pixels pass through Arrow batches. Set
     ``spark.sql.execution.arrow.maxRecordsPerBatch`` so that one batch of

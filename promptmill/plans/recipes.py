@@ -12,6 +12,7 @@ from promptmill.operators.instructions import (
     InstructionOptions,
     format_instructions,
     format_qa,
+    label_instructions,
 )
 from promptmill.operators.scoring import attach_gold, build_prompts, score_completions
 from promptmill.sources.department_csv import (
@@ -23,15 +24,28 @@ from promptmill.sources.images import list_files, read_images
 from promptmill.sources.tables import read_instructions, read_manifest, read_qa_subset
 
 
+@dataclass(frozen=True)
+class InstructionResult:
+    """``samples`` with text; ``labelled`` all rows with the reason of those left out."""
+
+    samples: DataFrame
+    labelled: DataFrame
+
+
 def prepare_instructions(
     spark: SparkSession,
     path: str,
     split: str = "train",
     options: InstructionOptions = InstructionOptions(),
     format: str = "parquet",
-) -> DataFrame:
-    """Instruction table with its ``text``."""
-    return format_instructions(read_instructions(spark, path, split, format), options)
+) -> InstructionResult:
+    """Instruction table with its ``text``, and all its rows with a reason for those without one.
+
+    Fails when nothing is left.
+    """
+    rows = read_instructions(spark, path, split, format)
+    samples = cleaning.require_non_empty(format_instructions(rows, options))
+    return InstructionResult(samples, label_instructions(rows, options))
 
 
 @dataclass(frozen=True)
@@ -57,7 +71,9 @@ class MedicalResult:
 def prepare_medical(spark: SparkSession, options: MedicalOptions) -> MedicalResult:
     """Department folders to question-answer training text.
 
-    Each row keeps its department and file as columns beside the triple.
+    Each row keeps its department and file as columns beside the triple. The
+    files are read and cut at once, by several jobs that write intermediate
+    tables; only what follows is lazy. Fails when no sample is left.
     """
     folders = (
         DepartmentFolders(options.data_dir)
@@ -72,7 +88,9 @@ def prepare_medical(spark: SparkSession, options: MedicalOptions) -> MedicalResu
     triples = cleaning.to_canonical_triple(
         cleaning.kept(labelled), options.cleaning.instruction, ["department", "path"]
     )
-    samples = format_qa(triples, options.eos, options.template, options.cleaning.compat)
+    samples = cleaning.require_non_empty(
+        format_qa(triples, options.eos, options.template, options.cleaning.compat)
+    )
     return MedicalResult(samples, labelled, read.files, read.missing)
 
 
@@ -111,12 +129,13 @@ def prepare_vision(
     options: vision.VisionOptions = vision.VisionOptions(),
     format: str = "csv",
     schema: str | None = None,
-    with_pixels: bool = True,
+    with_pixels: bool = False,
 ) -> VisionResult:
     """Manifest and image folder to conversation records.
 
-    Without pixels the records name the picture files, which keeps the written
-    set small; either way every picture is decoded once to see that it can be.
+    The records name the picture files, which keeps the written set small, or
+    carry the pixels. ``records`` and ``labelled`` each decode the pictures to
+    see that they can be.
     """
     manifest = vision.normalize_manifest(
         read_manifest(spark, manifest_path, format, schema), options

@@ -51,9 +51,10 @@ UTF8_FIRST = ("utf-8", "gbk", "gb2312", "gb18030")
 ENCODING_ORDERS = {"gbk_first": GBK_FIRST, "utf8_first": UTF8_FIRST}
 _CHECKED = ("gbk", "gb18030", "utf-8")
 
-# A broadcast split takes about 50 bytes. At 128 MB per split this many stand
-# for more than 500 TB; beyond it the splits are joined by a shuffle.
-MAX_BROADCAST_SPLITS = 4_000_000
+# A broadcast split takes some 200 bytes as a hashed row, so this many take about
+# 40 MB; at 128 MB per split they stand for 25 TB. Beyond it the splits are
+# joined by a shuffle.
+MAX_BROADCAST_SPLITS = 200_000
 
 # Why a whole file is rejected.
 UNDECODABLE = "undecodable_file"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -11,11 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a temporary one where none is configured."""
+    """The cluster's shared folder; on a local master a temporary one where none is configured.
+
+    Executors of a cluster would each write to their own disk without one, so
+    there it is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all executors share ({master})")
         configured = tempfile.mkdtemp(prefix="promptmill-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured

@@ -29,7 +29,10 @@ def test_training_set_by_split(spark, triples, tmp_path):
     assert [r.output for r in tables.read_instructions(spark, path, "test").collect()] == ["o2"]
     plan = tables.read_instructions(spark, path)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
-    assert recipes.prepare_instructions(spark, path).count() == 1
+    prepared = recipes.prepare_instructions(spark, path)
+    assert prepared.samples.count() == 1 and prepared.labelled.count() == 1
+    with pytest.raises(ValueError):
+        recipes.prepare_instructions(spark, path, split="none")
 
 
 @pytest.mark.parametrize("format", ["parquet", "json"])

@@ -47,7 +47,7 @@ def test_records_and_reasons(spark, folder):
     )
     files = image_source.list_files(spark, str(folder))
     images = image_source.read_images(spark, str(folder))
-    records = vision.vision_records(manifest, files, images, keep=("id",)).collect()
+    records = vision.vision_records(manifest, files, images, keep=("id",), with_pixels=True).collect()
     pixels = {
         r.id: (r.messages[0].content[1].image.nChannels, list(r.messages[0].content[1].image.data))
         for r in records
@@ -104,7 +104,7 @@ def test_recipe_with_other_names(spark, folder, tmp_path):
 
 
 @pytest.mark.parametrize("value, bare", [
-    ("file:/a/b.png", "/a/b.png"), ("file:///a//b.png", "/a/b.png"), ("hdfs://n:1/a/./b.png", "/a/b.png"),
+    ("file:/a/b.png", "/a/b.png"), ("file:///a//b.png", "/a/b.png"), ("hdfs://n:1/a/./b.png", "hdfs://n:1/a/b.png"),
     ("./a/b.png", "a/b.png"), ("/a/b c.png", "/a/b c.png"),
 ])
 def test_bare_path(apply, value, bare):
@@ -112,5 +112,21 @@ def test_bare_path(apply, value, bare):
 
 
 def test_resolve_path(apply):
-    got = apply(lambda c: image_source.resolve_path(c, "file:/base"), ["x.png", "/abs/x.png", "s3a://b/x.png"])
-    assert got == ["/base/x.png", "/abs/x.png", "/x.png"]
+    paths = ["x.png", "/abs/./x.png", "s3a://b//x.png", "file:///abs/x.png", None, "hdfs://n1/x.png"]
+    got = apply(lambda c: image_source.resolve_path(c, "file:/base"), paths)
+    assert got == ["/base/x.png", "/abs/x.png", "s3a://b/x.png", "/abs/x.png", None, "hdfs://n1/x.png"]
+    got = apply(lambda c: image_source.resolve_path(c, "s3a://c/in/"), paths)
+    assert got == ["s3a://c/in/x.png", "s3a://c/abs/x.png", "s3a://b/x.png", "/abs/x.png", None, "hdfs://n1/x.png"]
+    assert apply(lambda c: image_source.resolve_path(c, None), paths)[:2] == ["x.png", "/abs/x.png"]
+
+
+def test_one_key_in_two_buckets(spark):
+    rows = spark.createDataFrame([("1", "p", "s3a://b/x.png", "r")], SCHEMA)
+    manifest = vision.normalize_manifest(rows)
+    image = "struct(origin, 1 AS height, 1 AS width, 1 AS nChannels, 0 AS mode, binary('x') AS data) AS image"
+    images = spark.createDataFrame([("s3a://a/x.png",), ("s3a://b/x.png",)], "origin string")
+    images = images.select(image_source.bare_path(F.col("origin")).alias("path"), F.expr(image))
+    labelled = vision.label_manifest(manifest, images.select("path"), images).collect()
+    assert [r.reject_reason for r in labelled] == [None]
+    attached = vision.attach_image(manifest, images).collect()
+    assert [r.image.origin for r in attached] == ["s3a://b/x.png"]
