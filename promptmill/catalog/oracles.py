@@ -394,10 +394,24 @@ ORACLES = {
         CASE WHEN id NOT IN (SELECT doc_id FROM labels) OR (bucket = 'b' AND id % 3 <> 0)
              THEN 'image_not_found' END AS reject_reason
         FROM (SELECT doc_id AS id, CASE doc_id % 2 WHEN 0 THEN 'a' ELSE 'b' END AS bucket FROM documents)""",
-    "decode_csv": f"""WITH {USERS}, {labelled('users', 1000)}, {DEPARTMENTS}
-        SELECT department, 'utf-8' AS encoding, question, coalesce(answer, '') AS answer,
-               reject_reason
-        FROM labelled JOIN departments ON (conv_id + turn) % 6 = number""",
+    "decode_csv": f"""WITH {USERS}, said AS (SELECT * REPLACE (
+            CASE (conv_id + turn) % 6 WHEN 2 THEN regexp_replace(question, '[^\x00-\x7F]', '字', 'g')
+              ELSE question END AS question,
+            CASE (conv_id + turn) % 6 WHEN 2 THEN regexp_replace(answer, '[^\x00-\x7F]', '字', 'g')
+              ELSE answer END AS answer) FROM users),
+        {labelled('said', 1000)}, {DEPARTMENTS}
+        SELECT department, CASE number WHEN 2 THEN 'gbk' WHEN 3 THEN 'gb18030' ELSE 'utf-8' END AS encoding,
+               question, coalesce(answer, '') AS answer, reject_reason
+        FROM labelled JOIN departments ON (conv_id + turn) % 6 = number WHERE number < 4""",
+    "file_rejects": f"""WITH {USERS}, {DEPARTMENTS},
+        written AS (SELECT DISTINCT dept_dir, number FROM users
+                    JOIN departments ON (conv_id + turn) % 6 = number WHERE number < 5)
+        SELECT dept_dir, 'part' AS name,
+               CASE number WHEN 2 THEN 'gbk' WHEN 3 THEN 'gb18030' WHEN 4 THEN NULL ELSE 'utf-8' END AS encoding,
+               CASE number WHEN 4 THEN 'undecodable_file' END AS reject_reason FROM written
+        UNION ALL SELECT dept_dir, unnest(['_left.csv', '.out.csv', 'none.csv']), NULL,
+               unnest(['hidden_name', 'hidden_name', 'empty_file']) FROM departments WHERE number = 0
+        UNION ALL SELECT dept_dir, NULL, NULL, 'missing_folder' FROM departments WHERE number = 5""",
     "training_set_files": f"""SELECT source AS instruction, CAST(doc_id AS VARCHAR) AS input,
         text AS output, lang AS split FROM documents""",
     "prompt_set_files": f"WITH {SOLUTIONS} SELECT o_orderkey, subset, asked, answer FROM solutions",

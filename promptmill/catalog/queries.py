@@ -23,7 +23,7 @@ from promptmill.sources.images import bare_path
 from promptmill.sources.department_csv import DEPARTMENTS, attach_department
 from promptmill.sinks import writers
 from promptmill.streaming import streams
-from promptmill.workspace import fresh_dir, materialize, prepare_session
+from promptmill.workspace import fresh_dir, materialize, prepare_session, touch
 
 CUSTOM_TEMPLATE = "Q({1}): {0}\n{{json}} 100%s\nA: {2} / {0}"
 CLEANING = cleaning.CleaningOptions(max_length=1000)
@@ -514,29 +514,60 @@ def image_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files, sinks, streams --------------------------------------------------
 
 
-def decode_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: How each department's files are written: encoding and the name of a column beside the pair.
+#: The fourth has a character that GBK lacks, the fifth a byte no tried encoding has, the last no folder.
+CSV_LAYOUTS = (
+    ("UTF-8", "备注"), ("UTF-8", "note"), ("GBK", "备注"), ("GB18030", "备注㐀"), ("ISO-8859-1", "ÿ"), None,
+)
+
+
+def _department_files(spark: SparkSession, sf_dir: str) -> recipes.MedicalResult:
     """Pairs written as department folders of CSV files, then read and cleaned."""
     folder = fresh_dir(spark, "departments")
-    pairs = inputs.turns_with_reply(spark, sf_dir).select(
-        "conv_id",
-        F.col("question").alias("ask"),
-        F.col("answer").alias("回答"),
-        inputs.department_of(F.col("conv_id") + F.col("turn")).alias("dept_dir"),
-    )
-    writer = pairs.write.partitionBy("dept_dir").options(
-        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    )
-    writer.csv(folder)
-    departments = {f"dept_dir={name}": label for name, label in DEPARTMENTS.items()}
-    options = recipes.MedicalOptions(
-        data_dir=folder, eos=EOS, departments=departments, cleaning=CLEANING
-    )
-    result = recipes.prepare_medical(spark, options)
-    return result.labelled.select(
+    pairs = inputs.turns_with_reply(spark, sf_dir).withColumn(
+        "number", (F.col("conv_id") + F.col("turn")) % len(DEPARTMENTS)
+    )
+    before = spark.conf.get("spark.sql.legacy.javaCharsets")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    try:
+        for number, (name, layout) in enumerate(zip(DEPARTMENTS, CSV_LAYOUTS)):
+            if layout is None:
+                continue
+            encoding, note = layout
+            answer = "response" if encoding == "ISO-8859-1" else "回答"
+            said = [F.col("question"), F.col("answer")]
+            if encoding == "GBK":  # it lacks some accented letters of the given texts
+                said = [F.regexp_replace(column, r"[^\x00-\x7F]", "字") for column in said]
+            own = pairs.where(F.col("number") == number).select(
+                "conv_id", said[0].alias("ask"), said[1].alias(answer), F.lit("-").alias(note)
+            )
+            own.write.options(
+                header=True, escape='"', encoding=encoding,
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+            ).csv(f"{folder}/{name}")
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", before)
+    first = f"{folder}/{next(iter(DEPARTMENTS))}"
+    touch(spark, f"{first}/_left.csv", f"{first}/.out.csv", f"{first}/none.csv", f"{first}/more.csv/part.csv")
+    options = recipes.MedicalOptions(data_dir=folder, eos=EOS, cleaning=CLEANING)
+    return recipes.prepare_medical(spark, options)
+
+
+def decode_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _department_files(spark, sf_dir).labelled.select(
         F.col("department"), "encoding", "question", "answer", "reject_reason"
     )
 
 
+def file_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the files, and of the folders that are not there."""
+    result = _department_files(spark, sf_dir)
+    name = F.when(F.col("path").contains("/part-"), "part").otherwise(F.regexp_extract("path", "[^/]+$", 0))
+    files = result.files.select("dept_dir", name.alias("name"), "encoding", "reject_reason").distinct()
+    missing = [(folder, None, None, "missing_folder") for folder in result.missing_folders]
+    return files.union(spark.createDataFrame(missing, files.schema))
+
+
 def _written(spark: SparkSession, path: str, partition: str) -> list[str]:
     """The values of a partition column in files just written; folders, so they are few."""
     found = spark.read.parquet(path).select(partition).distinct()
@@ -656,7 +687,7 @@ QUERIES = {
         token_limit, prompt_limit, pack_blocks, packed_text,
         vision_records, vision_pixels, to_rgb, vision_inference, image_exists, image_missing,
         vision_rejects, image_stores,
-        decode_csv, training_set_files, prompt_set_files, vision_set_files, reject_files,
+        decode_csv, file_rejects, training_set_files, prompt_set_files, vision_set_files, reject_files,
         stream_format, stream_score,
     )
 }

@@ -60,6 +60,7 @@ MAX_BROADCAST_SPLITS = 200_000
 UNDECODABLE = "undecodable_file"
 MALFORMED = "malformed_file"
 EMPTY = "empty_file"
+HIDDEN = "hidden_name"
 
 # One field of a record. A quote opens a quoted field only at its very start;
 # behind a closing quote, or inside an unquoted field, it is plain text.
@@ -98,7 +99,7 @@ class DepartmentFolders:
         return [d for d in self.departments if path_exists(spark, self.folder(d))]
 
     def missing(self, spark: SparkSession) -> list[str]:
-        """Configured folders that do not exist; they are skipped."""
+        """Configured folders that do not exist; they are skipped, and returned as ``missing``."""
         return [d for d in self.departments if not path_exists(spark, self.folder(d))]
 
     def csv_globs(self, spark: SparkSession) -> list[str]:
@@ -114,16 +115,40 @@ _FILES_SCHEMA = "file long, path string, dept_dir string"
 
 
 def scan_department_files(spark: SparkSession, folders: DepartmentFolders) -> DataFrame:
-    """One row per file, from the listing alone; contents are not read.
+    """One row per file that Spark reads, from the listing alone; contents are not read.
 
-    Spark lists no files of zero length, which hold nothing to read or reject.
+    A folder whose name ends in ``.csv`` is no file, and what lies in it is not listed.
     """
     globs = _matching(spark, folders)
     if not globs:
         return spark.createDataFrame([], _FILES_SCHEMA)
     listing = spark.read.format("binaryFile").load(globs)
     path = F.col("path")
-    return listing.select(_file_key().alias("file"), path, _folder_of(path).alias("dept_dir"))
+    return listing.select(
+        _file_key().alias("file"), path, _folder_of(path).alias("dept_dir")
+    ).where(F.col("dept_dir").isin(*folders.departments))
+
+
+def unread_files(spark: SparkSession, folders: DepartmentFolders, listing: DataFrame) -> DataFrame:
+    """Files Spark passes over, with the reason: names that start with ``_`` or ``.``, and empty ones.
+
+    Single files are only looked at in folders where the numbers differ.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    read = {row.dept_dir: row["count"] for row in listing.groupBy("dept_dir").count().collect()}
+    found = []
+    for dept_dir in folders.present(spark):
+        glob = hadoop.Path(escape_glob(folders.folder(dept_dir)) + "/*.csv")
+        statuses = glob.getFileSystem(conf).globStatus(glob) or []
+        if len(statuses) == read.get(dept_dir, 0):
+            continue
+        for status in statuses:
+            path = status.getPath()
+            hidden = path.getName()[0] in "_."
+            if status.isFile() and (hidden or status.getLen() == 0):
+                found.append((path.toString(), dept_dir, HIDDEN if hidden else EMPTY))
+    return spark.createDataFrame(found, "path string, dept_dir string, reject_reason string")
 
 
 def _matching(spark: SparkSession, folders: DepartmentFolders) -> list[str]:
@@ -139,12 +164,14 @@ def _file_key() -> Column:
     return F.xxhash64("_metadata.file_path")
 
 
-def _read_lines(spark: SparkSession, globs: list[str]) -> DataFrame:
+def _read_lines(spark: SparkSession, globs: list[str], folders: DepartmentFolders) -> DataFrame:
     """Undecoded lines with keys of the file and the split they come from."""
     start = F.col("_metadata.file_block_start")
+    folder = F.url_decode(F.replace(_folder_of(F.col("_metadata.file_path")), F.lit("+"), F.lit("%2B")))
     return (
         spark.read.option("lineSep", "\n")
         .text(globs)
+        .where(folder.isin(*folders.departments))
         .select(
             F.xxhash64("_metadata.file_path", start).alias("split"),
             _file_key().alias("file"),
@@ -579,7 +606,7 @@ def read_department_rows(
             folders.missing(spark),
         )
 
-    lines = _read_lines(spark, globs)
+    lines = _read_lines(spark, globs, folders)
     splits = materialize(
         _resolve_splits(lines.mapInArrow(_summarize_splits, _SPLIT_SCHEMA), encodings),
         "csv-splits",
@@ -649,6 +676,8 @@ def read_department_rows(
     )
     return DepartmentRows(
         rows,
-        files.select("path", "dept_dir", "encoding", "header", "reject_reason"),
+        files.select("path", "dept_dir", "encoding", "header", "reject_reason").unionByName(
+            unread_files(spark, folders, listing), allowMissingColumns=True
+        ),
         folders.missing(spark),
     )

@@ -53,6 +53,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(conf).exists(hadoop_path)
 
 
+def touch(spark: SparkSession, *paths: str) -> None:
+    """Create empty files on whatever file system they name."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(conf).create(hadoop_path).close()
+
+
 def escape_glob(path: str) -> str:
     """Path text with glob characters taken literally."""
     return "".join("\\" + ch if ch in "{}[]*?\\" else ch for ch in path)
