@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,9 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2  # fixed values of the model file
 #: What an unknown character costs beyond the rarest piece in a unigram model; fixed value of the library.
 UNKNOWN_PENALTY = 10.0
-#: Words and pairs of pieces that a worker remembers.
-REMEMBERED = 400_000
+#: Words in each of two generations, and pairs of pieces, that a worker remembers.
+REMEMBERED = 350_000
+REMEMBERED_PAIRS = 1_000_000
 #: Characters between two looks for a boundary on which all paths agree.
 LOOK_EVERY = 32
 SINGLE = (1,)
@@ -82,18 +84,33 @@ class PieceModel:
         self.prefixed = sp.normalize("a").startswith(SPACE)
         #: Whether a word that follows other text always starts a piece.
         self.words_apart = not any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
-        self.pairs: dict[tuple[str, str], bool] = {}
-        #: Pieces a search may use: in a BPE model only those that their own text gives.
-        self.usable = {p for p in self.ids if self.kind == UNIGRAM or self.merged(p) == [p]}
-        #: The last two characters of usable longer pieces, and how long such pieces are, longest first.
-        ends: dict[str, set[int]] = {}
-        for piece in self.usable:
-            if len(piece) > 1:
-                ends.setdefault(piece[-2:], set()).add(len(piece))
-        self.lengths = {end: (*sorted(found, reverse=True), 1) for end, found in ends.items()}
+        self.pairs: dict[int, bool] = {}
         #: Stops that no piece joins to a letter before them: a word may be cut ahead of them.
         self.stops = "".join(c for c in ".,;:!?|" if not any(re.search(r"[^\W\d_]" + re.escape(c), p) for p in self.ids))
 
+        # decoding: what each id stands for; bytes beyond ASCII only mean something together
+        self.high = np.zeros(len(self.pieces), bool)
+        self.texts = [piece.replace(SPACE, " ") for piece in self.pieces]
+        for i, byte in self.byte_of.items():
+            self.texts[i] = chr(byte)
+            self.high[i] = byte > 127
+        for i in self.control:
+            self.texts[i] = ""
+
+    @cached_property
+    def usable(self) -> dict[str, int]:
+        """Pieces a search may use, with their ids: in a BPE model only those that their own text gives."""
+        return {p: i for p, i in self.ids.items() if self.kind == UNIGRAM or self.merged(p) == [p]}
+
+    @cached_property
+    def lengths(self) -> dict[str, tuple[int, ...]]:
+        """The last three or two characters of a place, and how long usable pieces that end there are, longest first."""
+        ends: dict[str, set[int]] = {piece: {2} for piece in self.usable if len(piece) == 2}
+        for piece in self.usable:
+            if len(piece) > 2:
+                ends.setdefault(piece[-3:], {2} if piece[-2:] in self.usable else set()).add(len(piece))
+        return {end: (*sorted(found, reverse=True), 1) for end, found in ends.items()}
+
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by the BPE rule itself: the best pair first, the leftmost of equals."""
         parts = list(text)
@@ -106,13 +123,14 @@ class PieceModel:
             parts[at: at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def follows(self, left: str, right: str) -> bool:
-        """BPE: whether two pieces stay apart side by side. A row of pieces is the encoding if all its pairs do."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) > REMEMBERED:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == [left, right]
+    def follows(self, key: int, left: str, right: str) -> bool:
+        """BPE: whether two pieces stay apart side by side, remembered under ``key``.
+
+        A row of pieces is the encoding if all its pairs stay apart.
+        """
+        if len(self.pairs) > REMEMBERED_PAIRS:
+            self.pairs.clear()
+        known = self.pairs[key] = self.merged(left + right) == [left, right]
         return known
 
     def piece_ids(self, piece: str) -> list[int]:
@@ -140,7 +158,7 @@ class StreamingViterbi:
         self.model = model
         self.text = ""  # what is not final yet
         self.starts = [0]  # for each boundary in the text, where its last piece starts
-        self.scores = [0.0]
+        self.codes = [0]  # BPE: and which piece that is; unigram: the sum of scores
 
     def feed(self, part: str) -> list[str]:
         """Take more text; returns the pieces that are now final."""
@@ -160,31 +178,37 @@ class StreamingViterbi:
         return self._path(len(self.text))
 
     def _take_bpe(self) -> None:
-        model, text, starts = self.model, self.text, self.starts
-        usable, lengths, pairs = model.usable, model.lengths, model.pairs
+        model, text, starts, codes = self.model, self.text, self.starts, self.codes
+        usable, lengths, pairs, unknown = model.usable, model.lengths, model.pairs, len(model.pieces)
         for end in range(len(starts), len(text) + 1):
-            for length in lengths.get(text[end - 2: end], SINGLE):
+            ending = text[end - 3: end] if end > 2 else text[:end]
+            for length in lengths.get(ending) or lengths.get(ending[-2:], SINGLE):
                 start = end - length
                 if start < 0:
                     continue
                 piece = text[start:end]
-                if length > 1 and piece not in usable:
-                    continue
+                code = usable.get(piece)
+                if code is None:
+                    if length > 1:
+                        continue
+                    code = unknown + ord(piece)
                 if start:
-                    left = text[starts[start]: start]
-                    apart = pairs.get((left, piece))
+                    key = codes[start] << 22 | code
+                    apart = pairs.get(key)
                     if apart is None:
-                        apart = model.follows(left, piece)
+                        apart = model.follows(key, text[starts[start]: start], piece)
                     if not apart:
                         continue
                 starts.append(start)
+                codes.append(code)
                 break
 
     def _take_unigram(self) -> None:
-        model, text, starts, scores = self.model, self.text, self.starts, self.scores
+        model, text, starts, scores = self.model, self.text, self.starts, self.codes
         for end in range(len(starts), len(text) + 1):
             best, begin = -np.inf, end - 1
-            for length in model.lengths.get(text[end - 2: end], SINGLE):
+            ending = text[end - 3: end] if end > 2 else text[:end]
+            for length in model.lengths.get(ending) or model.lengths.get(ending[-2:], SINGLE):
                 start = end - length
                 if start < 0:
                     continue
@@ -220,7 +244,7 @@ class StreamingViterbi:
             at = start
         self.text = text[end:]
         self.starts = [0, *(start - end for start in starts[end + 1:])]
-        self.scores = self.scores[end:]
+        self.codes = self.codes[end:]
         return pieces[::-1]
 
 
@@ -294,20 +318,20 @@ class PieceCodec:
             packed = b"".join(
                 [self._word(p[1:]) if p[0] == SPACE and len(p) > 1 and p[1] != SPACE else self._search(p) for p in parts]
             )
-        ids = np.frombuffer(packed, "<i4")
+        ids = np.frombuffer(packed, np.int32)
         if not self.model.bytes:
             # a run of unknown characters is one unknown piece
             unknown = ids == self.model.unknown
             ids = ids[~(unknown & np.append(False, unknown[:-1]))]
         return ids
 
-    def decode(self, ids: list[int]) -> str:
-        model, parts = self.model, []
-        if model.byte_of.keys().isdisjoint(ids):
-            parts = [model.pieces[i] for i in ids if i not in model.control]
+    def decode(self, ids: np.ndarray) -> str:
+        model, texts = self.model, self.model.texts
+        if not model.high[ids].any():
+            text = "".join([texts[i] for i in ids.tolist()])
         else:
-            held = bytearray()
-            for i in ids:
+            parts, held = [], bytearray()
+            for i in ids.tolist():
                 byte = model.byte_of.get(i)
                 if byte is not None:
                     held.append(byte)
@@ -315,10 +339,9 @@ class PieceCodec:
                 if held:
                     parts.append(held.decode(errors="replace"))
                     held.clear()
-                if i not in model.control:
-                    parts.append(model.pieces[i])
+                parts.append(texts[i])
             parts.append(held.decode(errors="replace"))
-        text = "".join(parts).replace(SPACE, " ")
+            text = "".join(parts)
         return text[1:] if model.prefixed and text.startswith(" ") else text
 
 
@@ -334,9 +357,14 @@ def _codec(held) -> PieceCodec:
     return _CODECS[key]
 
 
-def encode_pieces(docs: DataFrame, model: str, text: str = "text", out: str = "ids") -> DataFrame:
+def encode_pieces(
+    docs: DataFrame, model: str, text: str = "text", out: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """``docs`` with the SentencePiece ids of each whole text in ``out`` (array of int).
 
+    With ``decoded`` the text that these ids stand for goes into that column, as
+    ``decode_pieces`` would put it there, but in the same pass.
+
     ``model`` is the path of a unigram or BPE ``.model`` file, read once on the
     driver and broadcast. Ids of a BPE model are those of the library without
     begin and end marks; of a unigram model those of the highest sum of scores
@@ -354,10 +382,13 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", out: str = "i
             ids = [codec.encode(value or "") for value in strings(batch, text)]
             ends = np.concatenate([[0], np.cumsum([len(one) for one in ids])]).astype(np.int32)
             values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-            yield with_columns(batch, **{out: column})
+            new = {out: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))}
+            if decoded:
+                new[decoded] = pa.array([codec.decode(one) for one in ids], pa.string())
+            yield with_columns(batch, **new)
 
-    return docs.mapInArrow(run, schema_with(docs, **{out: "array<int>"}))
+    kinds = {out: "array<int>"} | ({decoded: "string"} if decoded else {})
+    return docs.mapInArrow(run, schema_with(docs, **kinds))
 
 
 def decode_pieces(docs: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -372,7 +403,13 @@ def decode_pieces(docs: DataFrame, model: str, ids: str = "ids", out: str = "dec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(held)
         for batch in batches:
-            texts = [codec.decode(one.as_py() or []) for one in batch.column(ids)]
+            column = batch.column(ids)
+            values = column.values.to_numpy(zero_copy_only=False)
+            bounds = column.offsets.to_numpy()
+            lacks = column.is_null().to_pylist()
+            texts = [
+                "" if lack else codec.decode(values[b:e]) for lack, b, e in zip(lacks, bounds, bounds[1:])
+            ]
             yield with_columns(batch, **{out: pa.array(texts, pa.string())})
 
     return docs.mapInArrow(run, schema_with(docs, **{out: "string"}))
@@ -380,7 +417,7 @@ def decode_pieces(docs: DataFrame, model: str, ids: str = "ids", out: str = "dec
 
 def piece_report(docs: DataFrame, model: str) -> DataFrame:
     """Per document: ids and their checksum, and whether decoding them gives the text back."""
-    told = decode_pieces(encode_pieces(docs.select("doc_id", "text"), model), model)
+    told = encode_pieces(docs.select("doc_id", "text"), model, decoded="decoded")
     return told.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_ids"),
