@@ -16,7 +16,7 @@ from promptmill.llm.langid import held_out, keep_known_language, train_language_
 from promptmill.llm.line_dedup import drop_shared_lines
 from promptmill.llm.near_dup import keep_one_of_each
 from promptmill.llm.shared import read_table, tokenizer_path
-from promptmill.llm.spm import decode_pieces, encode_pieces
+from promptmill.llm.spm import encode_pieces
 from promptmill.workspace import materialize
 
 
@@ -46,7 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, and whether they decode to its text."""
     model = tokenizer_path("piece_bpe_32k.model")
-    told = decode_pieces(encode_pieces(docs, model), model)
+    told = encode_pieces(docs, model, decoded="decoded")
     return told.select(
         "doc_id",
         "lang",
