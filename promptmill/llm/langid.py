@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptmill.llm.shared import ready, schema_with, slices, strings, with_columns
+from promptmill.llm.shared import forget_state, ready, schema_with, slices, strings, with_columns
 
 SIZES = (1, 2, 3)
 #: Hash buckets, as a power of two, and what is added to every count.
@@ -22,7 +22,7 @@ MAX_TRAIN_DOCS = 50_000
 MAX_MODEL_BYTES = 64 << 20
 UNKNOWN = "und"
 #: Bytes of text scored at once; the rows gathered from the matrix take some ten times as much.
-SCORE_BYTES = 1 << 20
+SCORE_BYTES = 1 << 19
 
 
 @dataclass
@@ -70,6 +70,7 @@ def train_language_model(
         rows = rows.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(1_000_000 * max_docs / total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         counts: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
         for batch in slices(batches, text, SCORE_BYTES):
@@ -147,6 +148,7 @@ def predict_language(
     bits = int(model.log_prob.shape[0]).bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         known = held.value
         for batch in slices(batches, text, SCORE_BYTES):
             texts = strings(batch, text)

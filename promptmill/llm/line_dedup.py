@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptmill.llm.shared import ready, schema_with, slices, utf8, with_columns
+from promptmill.llm.shared import forget_state, ready, schema_with, slices, utf8, with_columns
 from promptmill.workspace import materialize
 
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -44,6 +44,16 @@ def _places(keys: Iterable[bytes], bits: int) -> np.ndarray:
     return np.stack([hashes & mask, (hashes >> np.uint64(32)) & mask], axis=1).astype(np.int64)
 
 
+def _holds(bloom: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which rows of places are all set in a filter of packed bits."""
+    return ((bloom[places >> 3] & (128 >> (places & 7))) > 0).all(axis=1)
+
+
+def _add(bloom: np.ndarray, places: np.ndarray) -> None:
+    flat = places.ravel()
+    np.bitwise_or.at(bloom, flat >> 3, (128 >> (flat & 7)).astype(np.uint8))
+
+
 def _filter_bits(docs: DataFrame, text: str) -> int:
     """Filter size for all lines of ``docs``, a power of two."""
     lines = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1
@@ -60,7 +70,8 @@ def _twice_seen(docs: DataFrame, text: str, shortest: int, bits: int) -> bytes:
     block = bits // 8 // BLOCKS
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
+        forget_state()
+        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in slices(batches, text, 1 << 20):
             # one slice at a time: how many of its documents hold a key, then the slice as a whole
             seen = Counter()
@@ -69,11 +80,10 @@ def _twice_seen(docs: DataFrame, text: str, shortest: int, bits: int) -> bytes:
             if not seen:
                 continue
             places = _places(seen.keys(), bits)
-            known = once[places].all(axis=1)
             many = np.fromiter((n > 1 for n in seen.values()), bool, len(seen))
-            twice[places[known | many].ravel()] = True
-            once[places.ravel()] = True
-        packed = [np.packbits(side).reshape(BLOCKS, block) for side in (once, twice)]
+            _add(twice, places[_holds(once, places) | many])
+            _add(once, places)
+        packed = [side.reshape(BLOCKS, block) for side in (once, twice)]
         used = np.flatnonzero(packed[0].any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int32()), *(pa.array([side[i].tobytes() for i in used], pa.binary()) for side in packed)],
@@ -114,6 +124,7 @@ def shared_lines(
     twice = spark.sparkContext.broadcast(_twice_seen(docs, text, shortest, bits)) if min_docs > 1 else None
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         held = None if twice is None else np.frombuffer(twice.value, np.uint8)
         for batch in slices(batches, text):
             counts: Counter = Counter()
@@ -127,9 +138,7 @@ def shared_lines(
                             first[key] = place
             keys = list(counts)
             if held is not None and keys:
-                places = _places(keys, bits)
-                inside = (held[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1
-                keys = [keys[i] for i in np.flatnonzero(inside.all(axis=1))]
+                keys = [keys[i] for i in np.flatnonzero(_holds(held, _places(keys, bits)))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys, pa.binary()),
@@ -182,6 +191,7 @@ def drop_shared_lines(
         held = spark.sparkContext.broadcast(firsts)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
             drop = held.value
             for batch in slices(batches, text):
                 places = batch.column("__place").to_pylist()

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.llm.components import connected_components
-from promptmill.llm.shared import broadcast_if_small, ready, slices, utf8
+from promptmill.llm.shared import broadcast_if_small, ready, slices, utf8, worker_state
 from promptmill.workspace import materialize
 
 WORDS = 5
@@ -34,18 +34,15 @@ WORD_BYTES = bytes(
 
 
 class _WordCodes(dict):
-    """64-bit codes of words, the most recent some hundred thousand remembered."""
+    """64-bit codes of words, the most recent two hundred thousand remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         code = self[word] = xxhash.xxh3_64_intdigest(word)
         return code
 
 
-_CODES = _WordCodes()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -72,7 +69,8 @@ def shingle_sets(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.
     """
     split = [(text or b"").translate(WORD_BYTES).split() for text in texts]
     sizes = np.array([len(words) for words in split], np.int64)
-    codes = np.fromiter((_CODES[w] for words in split for w in words), np.uint64, int(sizes.sum()))
+    code_of = worker_state("word-codes", _WordCodes)
+    codes = np.fromiter((code_of[w] for words in split for w in words), np.uint64, int(sizes.sum()))
     text_of = np.repeat(np.arange(len(texts)), sizes)
     starts = np.cumsum(sizes) - sizes
     last = np.repeat(starts + sizes, sizes)

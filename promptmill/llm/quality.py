@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptmill.llm.shared import ready, schema_with, slices, utf8, with_columns
+from promptmill.llm.shared import forget_state, ready, schema_with, slices, utf8, with_columns
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -171,6 +171,7 @@ def judge_quality(docs: DataFrame, limits: QualityLimits = QualityLimits(), text
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         for batch in slices(batches, text, SORT_BYTES):
             found = _measures([value or b"" for value in utf8(batch, text)], limits)
             kinds = {name: pa.bool_() if kind == "boolean" else pa.int64() for name, kind in COLUMNS.items()}
@@ -184,6 +185,7 @@ def repeated_spans(docs: DataFrame, least_repeat: int = WINDOW, text: str = "tex
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         import re
 
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))

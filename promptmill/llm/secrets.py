@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptmill.llm.shared import ready, schema_with, slices, strings, with_columns
+from promptmill.llm.shared import forget_state, ready, schema_with, slices, strings, with_columns
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
@@ -160,6 +160,7 @@ def find_secrets(docs: DataFrame, text: str = "text", least: float = LEAST_LOG10
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         for batch in slices(batches, text):
             out: dict[str, list] = {name: [] for name in COLUMNS}
             for value in strings(batch, text):

@@ -17,6 +17,25 @@ MAX_TOKENIZER_BYTES = 64 << 20
 SLICE_BYTES = 8 << 20
 
 
+_STATE: dict = {}
+
+
+def worker_state(key, make):
+    """What a Python worker keeps from task to task; asking for another thing drops the one before.
+
+    Workers serve many stages, so what each operator remembers must not add up.
+    """
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
+def forget_state() -> None:
+    """Drop what an earlier operator's tasks left in this worker."""
+    _STATE.clear()
+
+
 def tokenizer_path(name: str) -> str:
     """Where a public tokenizer file lies on the driver."""
     import public_tokenizers

@@ -12,15 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptmill.llm.shared import broadcast_file, ready, schema_with, slices, strings, with_columns
+from promptmill.llm.shared import broadcast_file, ready, schema_with, slices, strings, with_columns, worker_state
 
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2  # fixed values of the model file
 #: What an unknown character costs beyond the rarest piece in a unigram model; fixed value of the library.
 UNKNOWN_PENALTY = 10.0
 #: Words in each of two generations, and pairs of pieces, that a worker remembers.
-REMEMBERED = 350_000
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED = 300_000
+REMEMBERED_PAIRS = 600_000
 #: Characters between two looks for a boundary on which all paths agree.
 LOOK_EVERY = 32
 SINGLE = (1,)
@@ -345,16 +345,9 @@ class PieceCodec:
         return text[1:] if model.prefixed and text.startswith(" ") else text
 
 
-_CODECS: dict[int, PieceCodec] = {}
-
-
 def _codec(held) -> PieceCodec:
     """One codec per worker process and model file."""
-    key = hash(held.value)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = PieceCodec(held.value)
-    return _CODECS[key]
+    return worker_state(("pieces", hash(held.value)), lambda: PieceCodec(held.value))
 
 
 def encode_pieces(

@@ -9,10 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.llm.pieces import PieceEncoder
-from promptmill.llm.shared import broadcast_file, ready, schema_with, slices, strings, with_columns
-
-_ENCODERS: dict[int, PieceEncoder] = {}
-
+from promptmill.llm.shared import broadcast_file, ready, schema_with, slices, strings, with_columns, worker_state
 
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
     """``docs`` with the number of tokens of ``text`` in the long column ``out``.
@@ -42,11 +39,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", out: str =
 
 def _file_counter(held):
     """One encoder per worker process and tokenizer file, so that later tasks know the words of earlier ones."""
-    key = hash(held.value)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = PieceEncoder(held.value.decode(), len, sum)
-    return _ENCODERS[key]
+    return worker_state(("counts", hash(held.value)), lambda: PieceEncoder(held.value.decode(), len, sum))
 
 
 def _piece_model_counter(model: bytes):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promptmill.llm.pieces import PieceEncoder
-from promptmill.llm.shared import broadcast_file, ready, slices, strings
+from promptmill.llm.shared import broadcast_file, ready, slices, strings, worker_state
 from promptmill.workspace import fresh_dir, materialize
 
 # Fixed values of the zstandard frame and seekable formats.
@@ -39,8 +39,6 @@ FRAME_BYTES = 256 << 10
 LEVEL = 3
 MANIFEST = "shard int, file string, n_docs bigint, n_tokens bigint, n_frames bigint, first_id bigint, last_id bigint"
 
-_ENCODERS: dict[int, PieceEncoder] = {}
-
 
 class TokenFileWriter:
     """Writes one file; documents come in the order they are to lie in. Keeps 21 bytes a document until closed."""
@@ -196,11 +194,8 @@ def write_token_files(
 
 def _encoder(held) -> PieceEncoder:
     """One encoder per worker process and tokenizer file."""
-    key = hash(held.value)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = PieceEncoder(held.value.decode(), lambda e: np.array(e.ids, "<u4").tobytes(), b"".join)
-    return _ENCODERS[key]
+    to_bytes = lambda e: np.array(e.ids, "<u4").tobytes()
+    return worker_state(("ids", hash(held.value)), lambda: PieceEncoder(held.value.decode(), to_bytes, b"".join))
 
 
 def read_token_files(manifest: DataFrame, doc_ids: Sequence[int] | None = None) -> DataFrame:
