@@ -191,7 +191,7 @@ def drop_shared_lines(
         held = spark.sparkContext.broadcast(firsts)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget_state()
+            forget_state()
             drop = held.value
             for batch in slices(batches, text):
                 places = batch.column("__place").to_pylist()
