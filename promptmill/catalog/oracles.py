@@ -280,6 +280,11 @@ ORACLES = {
         FROM labelled GROUP BY 1""",
     "kept_count": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}
         SELECT count(*) AS n_rows FROM labelled WHERE reject_reason IS NULL""",
+    "observed_count": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}
+        SELECT count(*) AS n_rows FROM labelled WHERE reject_reason IS NULL""",
+    "department_rejects": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}, {DEPARTMENTS}
+        SELECT dept_dir, coalesce(reject_reason, 'kept') AS reason, count(*) AS n_rows
+        FROM labelled JOIN departments ON (conv_id + turn) % 6 = number GROUP BY ALL""",
     "alias_columns": f"""WITH {USERS} SELECT conv_id, turn,
         CASE WHEN conv_id % 4 < 3 THEN question END AS question_raw,
         CASE conv_id % 4 WHEN 2 THEN CAST(conv_id AS VARCHAR) WHEN 3 THEN NULL ELSE answer END

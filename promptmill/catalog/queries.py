@@ -139,6 +139,20 @@ def kept_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.kept_count(cleaning.kept(_labelled(spark, sf_dir)))
 
 
+def observed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept rows counted while they are written, without a pass of its own."""
+    kept = cleaning.kept(_labelled(spark, sf_dir)).select("conv_id", "turn", "question", "answer")
+    counted, observation = cleaning.count_while_writing(kept, "kept")
+    counted.write.parquet(fresh_dir(spark, "kept"))
+    return spark.createDataFrame([(observation.get["n_rows"],)], "n_rows long")
+
+
+def department_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("conv_id") + F.col("turn")
+    labelled = _labelled(spark, sf_dir).withColumn("dept_dir", inputs.department_of(number))
+    return cleaning.reject_report(labelled, ["dept_dir"])
+
+
 def alias_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Question and answer found by header, which differs from row to row."""
     kind = F.col("conv_id") % 4
@@ -678,6 +692,7 @@ QUERIES = {
         format_instruction, format_qa, format_custom, format_null_cells, inference_prompt,
         select_text_field, response_text, map_batched, preview_first,
         clean_qa, clean_qa_compatible, reject_reasons, reject_report, kept_count,
+        observed_count, department_rejects,
         alias_columns, union_sources, department_names, table_profile,
         hash_answer, xml_answer, xml_cot, chat_prompt, chat_text, chat_exchange, attach_gold,
         reward_correctness, reward_integer, reward_strict_format, reward_soft_format,
