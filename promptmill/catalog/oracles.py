@@ -227,6 +227,10 @@ PIXELS = (
     f"CASE doc_id % 3 WHEN 0 THEN {spread(0, '000', 1)} WHEN 1 THEN {spread(0, '210', 3)} "
     f"ELSE {spread(0, '210', 4)} END"
 )
+# Files hold red first.
+FILE_PIXELS = PIXELS.replace(spread(0, "210", 3), spread(0, "012", 3)).replace(
+    spread(0, "210", 4), spread(0, "012", 4)
+)
 PICTURES = """
 pictures AS (SELECT doc_id, toxic, '/store/pictures/' || CAST(doc_id AS VARCHAR) || '.png' AS path,
                     md5(CAST(doc_id AS VARCHAR)) AS bytes FROM labels)"""
@@ -395,6 +399,16 @@ ORACLES = {
           WHEN response IS NULL THEN 'missing_prompt_or_response'
           WHEN toxic = 1 THEN 'undecodable_image' END AS reject_reason
         FROM manifest LEFT JOIN labels ON id = doc_id""",
+    "vision_files": f"""WITH {PICTURES} SELECT d.doc_id AS id, 'say "' || lang || '", please' AS user_text,
+        source AS reply_text, pixels
+        FROM documents d JOIN (SELECT doc_id, toxic, {FILE_PIXELS} AS pixels FROM pictures) USING (doc_id)
+        WHERE n_chars >= 300 AND lang <> 'de' AND toxic = 0""",
+    "vision_file_rejects": """SELECT d.doc_id AS id, CASE
+          WHEN n_chars < 300 THEN 'empty_image_path'
+          WHEN toxic IS NULL THEN 'image_not_found'
+          WHEN lang = 'de' THEN 'missing_prompt_or_response'
+          WHEN toxic = 1 THEN 'undecodable_image' END AS reject_reason
+        FROM documents d LEFT JOIN labels USING (doc_id)""",
     "image_stores": """SELECT id, 's3a://' || bucket || '/pictures/' || id || '.png' AS image_path,
         CASE WHEN id NOT IN (SELECT doc_id FROM labels) OR (bucket = 'b' AND id % 3 <> 0)
              THEN 'image_not_found' END AS reject_reason

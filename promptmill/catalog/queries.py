@@ -637,6 +637,40 @@ def vision_set_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _vision_folder(spark: SparkSession, sf_dir: str) -> recipes.VisionResult:
+    """A manifest as CSV and pictures as PNG files, read and prepared."""
+    folder = fresh_dir(spark, "vision")
+    inputs.write_pictures(spark, sf_dir, f"{folder}/pictures")
+    path = F.concat(F.lit("pictures/./"), F.col("doc_id").cast("string"), F.lit(".png"))
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.concat(F.lit('say "'), "lang", F.lit('", please')).alias("prompt"),
+        F.when(F.col("n_chars") >= 300, path).alias("image"),
+        F.when(F.col("lang") != "de", F.col("source")).alias("response"),
+    )
+    rows.write.options(header=True, escape='"').csv(f"{folder}/manifest")
+    options = vision.VisionOptions(base_dir=folder)
+    return recipes.prepare_vision(
+        spark, f"{folder}/manifest", f"{folder}/pictures", options, with_pixels=True
+    )
+
+
+def vision_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    user, reply = F.col("messages")[0]["content"], F.col("messages")[1]["content"]
+    image = user[1]["image"]
+    return _vision_folder(spark, sf_dir).records.select(
+        F.regexp_extract(image["origin"], r"(\d+)\.png$", 1).cast("long").alias("id"),
+        user[0]["text"].alias("user_text"),
+        reply[0]["text"].alias("reply_text"),
+        F.lower(F.hex(image["data"])).alias("pixels"),
+    )
+
+
+def vision_file_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = _vision_folder(spark, sf_dir).labelled
+    return labelled.select(F.col("id").cast("long").alias("id"), "reject_reason")
+
+
 def reject_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "rejects")
     writers.write_rejects(
@@ -701,7 +735,7 @@ QUERIES = {
         shuffle_order, shuffle_sorted, sample_budget, schedule_epochs, schedule_steps,
         token_limit, prompt_limit, pack_blocks, packed_text,
         vision_records, vision_pixels, to_rgb, vision_inference, image_exists, image_missing,
-        vision_rejects, image_stores,
+        vision_rejects, image_stores, vision_files, vision_file_rejects,
         decode_csv, file_rejects, training_set_files, prompt_set_files, vision_set_files, reject_files,
         stream_format, stream_score,
     )

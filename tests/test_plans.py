@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given t
 
 PYTHON_QUERIES = {"map_batched", "reward_python", "vision_pixels", "to_rgb"}
 FILE_QUERIES = {
-    "decode_csv", "file_rejects", "observed_count", "training_set_files", "prompt_set_files", "vision_set_files", "reject_files",
+    "decode_csv", "file_rejects", "vision_files", "vision_file_rejects", "observed_count", "training_set_files", "prompt_set_files", "vision_set_files", "reject_files",
     "stream_format", "stream_score",
 }
 GLOBAL_AGGREGATES = {"kept_count", "table_profile"}
