@@ -159,8 +159,24 @@ def test_compatible_recipe_and_nothing_there(spark, tmp_path):
     write(tmp_path / "IM_内科", {"a.csv": b"question,answer\n,x\nNULL,y\n"})
     options = MedicalOptions(str(tmp_path), "", cleaning=CleaningOptions(compat=True))
     assert {r.input for r in prepare_medical(spark, options).samples.collect()} == {"nan"}
-    nothing = prepare_medical(spark, MedicalOptions(str(tmp_path / "none"), "</s>"))
-    assert nothing.samples.count() == 0 and len(nothing.missing_folders) == 6
+    nowhere = source.DepartmentFolders(str(tmp_path / "none"))
+    nothing = source.read_department_rows(spark, nowhere)
+    assert nothing.rows.count() == 0 and nothing.files.count() == 0 and len(nothing.missing) == 6
+    with pytest.raises(ValueError):
+        prepare_medical(spark, MedicalOptions(str(tmp_path / "none"), "</s>"))
+
+
+def test_every_csv_name_is_accounted_for(spark, tmp_path):
+    good = b"question,answer\nq,a\n"
+    write(tmp_path / "IM_内科", {"a.csv": good, "_b.csv": good, ".c.csv": good, "e.csv": b"", "f.CSV": good, "g.txt": good})
+    write(tmp_path / "IM_内科" / "sub.csv", {"part-0.csv": good})
+    write(tmp_path / "Oncology_肿瘤科", {"_only.csv": good})
+    read = source.read_department_rows(spark, source.DepartmentFolders(str(tmp_path)))
+    found = {r.path.rsplit("/", 1)[1]: r.reject_reason for r in read.files.collect()}
+    assert found == {
+        "a.csv": None, "_b.csv": source.HIDDEN, ".c.csv": source.HIDDEN, "e.csv": source.EMPTY, "_only.csv": source.HIDDEN,
+    }
+    assert [(r.dept_dir, r.fields) for r in read.rows.collect()] == [("IM_内科", ["q", "a"])]
 
 
 def test_departments(spark):

@@ -90,3 +90,20 @@ def test_stream_scoring_equals_batch(spark, tmp_path):
     assert sorted(map(tuple, result.collect()), key=repr) == sorted(
         map(tuple, batch.select(result.columns).collect()), key=repr
     )
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from types import SimpleNamespace
+
+    from promptmill.workspace import shared_dir
+
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
+
+    with pytest.raises(ValueError):
+        shared_dir(session("yarn"))
+    with pytest.raises(ValueError):
+        shared_dir(session("local-cluster[3,2,3000]"))
+    assert shared_dir(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert shared_dir(session("local[4]"))
