@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,8 +27,9 @@ CONTEXT = re.compile(
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "credential", "key", "bearer", "basic")
 KINDS = ("assign", "access", "hex", "guess")
-#: A value is reported that takes this many guesses (power of ten) or more.
-LEAST_LOG10_GUESSES = 12.0
+#: A value is reported that takes this many guesses (power of ten) or more. Eight random characters of two classes
+#: take 12.4 or more, one or two less where a character is doubled or three follow a keyboard row.
+LEAST_LOG10_GUESSES = 10.0
 
 # Words that are tried first, the most likely one in front.
 COMMON_WORDS = (
@@ -60,9 +61,24 @@ def _char_cost(char: str) -> float:
     return math.log10(26 if char.isascii() and char.isalpha() else 33 if char.isascii() else 1000)
 
 
-def guess_cost(value: str, longest_period: int = 8) -> float:
+def mixed_char_cost(value: str) -> Callable[[str], float]:
+    """The cost of single characters where all signs of the classes the value mixes have to be tried at each place.
+
+    A capital at the front of small letters only is a shape of one class, not a second one. Characters beyond ASCII
+    keep their own cost.
+    """
+    upper = any("A" <= char <= "Z" for char in value[1:])
+    lower = any("a" <= char <= "z" for char in value)
+    front = "A" <= value[:1] <= "Z" and not lower
+    signs = 26 * (upper or front) + 26 * lower + 10 * any("0" <= char <= "9" for char in value)
+    signs += 33 * any(char.isascii() and not char.isalnum() for char in value)
+    ascii_cost = math.log10(max(signs, 10))
+    return lambda char: ascii_cost if char.isascii() else _char_cost(char)
+
+
+def guess_cost(value: str, longest_period: int = 8, char_cost: Callable[[str], float] = _char_cost) -> float:
     """The least power of ten of guesses by which words, dates, repeats, keyboard walks and single characters
-    put together the value.
+    put together the value; ``char_cost`` gives what a single one takes.
 
     ``best[i]`` is the cost of the first ``i`` characters; every span that ends a
     part there is tried. All spans are found with work in proportion to the
@@ -94,7 +110,7 @@ def guess_cost(value: str, longest_period: int = 8) -> float:
         if at - walk >= 3:
             ends[at].append((walk, 2.0 + math.log10(at - walk)))
         walk = at
-    single = [_char_cost(char) for char in value]
+    single = [char_cost(char) for char in value]
     best = [0.0] * (n + 1)
     runs = [0] * (longest_period + 1)  # characters up to here that equal those one period before
     for stop in range(1, n + 1):
@@ -131,7 +147,8 @@ def guessed_spans(text: str, least: float = LEAST_LOG10_GUESSES) -> list[tuple[i
     found = []
     for match in CONTEXT.finditer(text):
         group = 1 if match.group(1) else 2
-        if guess_cost(match.group(group)) >= least:
+        value = match.group(group)
+        if guess_cost(value, char_cost=mixed_char_cost(value)) >= least:
             found.append((match.start(group), 3, match.end(group)))
     return found
 

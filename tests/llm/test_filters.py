@@ -99,6 +99,27 @@ def test_guess_spans(spark):
     ]
 
 
+def guessed(text):
+    return [text[a:b] for a, _, b in secrets.guessed_spans(text)]
+
+
+def test_random_values_of_eight_characters_are_found():
+    assert guessed("pwd=h7Kq2ZtP") == ["h7Kq2ZtP"]
+    assert guessed('password="xK9#mQ2!"') == ["xK9#mQ2!"]
+    rnd = random.Random(2)
+    small, digits, signs = "abcdefghijklmnopqrstuvwxyz", "0123456789", "!#$%&*+-?@^_~"
+    for classes, share in (((small, digits), 0.95), ((small, small.upper(), digits), 0.97), ((small, small.upper(), digits, signs), 0.99)):
+        found = total = 0
+        for _ in range(600):
+            value = "".join(rnd.choice("".join(classes)) for _ in range(rnd.randrange(8, 11)))
+            if sum(any(c in value for c in one) for one in classes) >= 2:
+                total += 1
+                found += guessed(f"pwd={value}") == [value]
+        assert found >= share * total
+    for value in ("Password1!", "hunter22", "changeme2024", "P@ssw0rd2024!", "qwerty12345"):
+        assert guessed(f"pwd={value}") == [], value
+
+
 def test_secrets_take_odd_rows(odd, none):
     found = secrets.find_secrets(odd.withColumn("spans", F.lit(1)))
     assert found.count() == odd.count() and dict(found.dtypes)["spans"] == "string"
