@@ -17,13 +17,23 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: More places where a credential's value stands; group 1 is the value.
+#: More places where a credential's value stands: the name and what leads to its value, or (with the value as group 1)
+#: an Authorization header. A name is taken whole and from its start, so it is looked through once. Words that only
+#: begin like a credential word (passage, secretary, tokenizer) are none.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth)[_-]?key)"""
-    r"""["']?[\x20\t]{0,4}(?:=>|:=|[:=])[\x20\t]{0,4}["']?([^\s"'<>,;]{6,})"""
+    r"""(?<![\w-])(?>[\w-]*?(?:pass(?:word|wd|phrase|code|key|(?![a-z]))|pwd|secret(?!ar|ion)|token(?!i[sz][aei])|credential"""
+    r"""|(?:api|access|private|auth|encrypt(?:ion)?|sign(?:ing)?|account|master|shared|storage)[_-]?key))[\w-]*+"""
+    r"""["']?[\x20\t]*+(?:=>|:=|[:=])[\x20\t]*+(?:(?:bearer|basic)\x20++)?+"""
     r"""|\b(?:bearer|basic)\x20+([A-Za-z0-9+/_.=~-]{16,})""",
     re.I | re.A,
 )
+#: A value: in quotes up to its own closing quote on that line (one that is not escaped, if there is any), else to a blank.
+VALUE = re.compile(
+    r""""((?:[^"\\\r\n]|\\[^\r\n])*+)"|'((?:[^'\\\r\n]|\\[^\r\n])*+)'|"([^"\r\n]*+)"|'([^'\r\n]*+)'|["']?(\S*+)"""
+)
+SHORTEST_VALUE = 6
+#: So far before the end of an unquoted value that is not reported the next name may begin.
+LONGEST_NAME = 64
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "credential", "key", "bearer", "basic")
 KINDS = ("assign", "access", "hex", "guess")
@@ -144,12 +154,18 @@ def guessed_spans(text: str, least: float = LEAST_LOG10_GUESSES) -> list[tuple[i
     lower = text.lower()
     if not any(word in lower for word in CONTEXT_WORDS):
         return []
-    found = []
-    for match in CONTEXT.finditer(text):
-        group = 1 if match.group(1) else 2
-        value = match.group(group)
-        if guess_cost(value, char_cost=mixed_char_cost(value)) >= least:
-            found.append((match.start(group), 3, match.end(group)))
+    found, at = [], 0
+    while match := CONTEXT.search(text, at):
+        if match.group(1):
+            (start, stop), at, bare = match.span(1), match.end(), False
+        else:
+            part = VALUE.match(text, match.end())
+            (start, stop), at, bare = part.span(part.lastindex), part.end(), part.lastindex == 5
+        value = text[start:stop]
+        if len(value) >= SHORTEST_VALUE and guess_cost(value, char_cost=mixed_char_cost(value)) >= least:
+            found.append((start, 3, stop))
+        elif bare:
+            at = max(start, stop - LONGEST_NAME)
     return found
 
 

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -120,6 +121,34 @@ def test_random_values_of_eight_characters_are_found():
         assert guessed(f"pwd={value}") == [], value
 
 
+def test_values_are_taken_whole():
+    for text, values in (
+        ('passphrase: "vexing otter plumbs nine zebras"', ["vexing otter plumbs nine zebras"]),
+        ('password = "p#2;Q9$kz!vLp0z8WqT"; done', ["p#2;Q9$kz!vLp0z8WqT"]),
+        ('password = "a1,Q9<x>\'y8Kw"', ["a1,Q9<x>'y8Kw"]),
+        (r'password = "a1\"Q9xy8Kw" + "b"', [r'a1\"Q9xy8Kw']),
+        (r'password = "C:7xQ9\zW8k\"', ["C:7xQ9\\zW8k\\"]),
+        ('password = p#2;Q9$kz!vLp0z8WqT and more', ["p#2;Q9$kz!vLp0z8WqT"]),
+        ('password = "x9$kQ2!vLp0z8\nno closing quote"', ["x9$kQ2!vLp0z8"]),
+        ('password = "abc", token = "x9$kQ2!vLp0z8"', ["x9$kQ2!vLp0z8"]),
+        ("pwd" + " " * 9 + "=\t \t    x9$kQ2!vLp0z8", ["x9$kQ2!vLp0z8"]),
+        ('SECRET_KEY = "x9$kQ2!vLp0z8WqT7"', ["x9$kQ2!vLp0z8WqT7"]),
+        ("encryption_key: x9$kQ2!vLp0\nsigning-key=k8#Lm2?pQz9\nAccountKey=Zt7!wq4Rb2", ["x9$kQ2!vLp0", "k8#Lm2?pQz9", "Zt7!wq4Rb2"]),
+        ("db_token_secret_v2 => x9$kQ2!vLp0z8", ["x9$kQ2!vLp0z8"]),
+        ("token: Bearer kR7fWq0zXb2LtN5vYc", ["kR7fWq0zXb2LtN5vYc"]),
+        ("password: secret: x9$kQ2!vLp0z8", ["x9$kQ2!vLp0z8"]),
+        ("tokenizer: x9$kQ2!vLp0z8 passage: x9$kQ2!vLp0z8 secretary: x9$kQ2!vLp0z8", []),
+    ):
+        assert guessed(text) == values, text
+
+
+def test_long_texts_without_values_take_linear_time():
+    begin = time.process_time()
+    for part in ("pass", "pass-", "pass:", "pass  ", 'pass="', "pass='\\", "token\t"):
+        secrets.guessed_spans(part * (200_000 // len(part)))
+    assert time.process_time() - begin < 60
+
+
 def test_secrets_take_odd_rows(odd, none):
     found = secrets.find_secrets(odd.withColumn("spans", F.lit(1)))
     assert found.count() == odd.count() and dict(found.dtypes)["spans"] == "string"
