@@ -59,10 +59,17 @@ LOOKALIKES = str.maketrans("013457@$!", "oleastasi")
 RANK = {word: math.log10(i + 2) for i, word in enumerate(COMMON_WORDS)}
 LONGEST_WORD = max(map(len, COMMON_WORDS))
 NEXT = {pair for walk in WALKS for line in (walk, walk[::-1]) for pair in zip(line, line[1:])}
-DATE = re.compile(
-    r"(?=((?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])"
-    r"|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d))"
-)
+WALK_COST = 2.0  # and the logarithm of its length
+YEAR_COST, DAY_COST = math.log10(200), math.log10(200 * 365)
+#: Years and dates, each found at every place where one starts.
+DATES = [
+    (re.compile(f"(?=({pattern}))"), cost)
+    for pattern, cost in (
+        (r"(?:19|20)[0-9]{2}", YEAR_COST),
+        (r"(?:19|20)[0-9]{2}[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12][0-9]|3[01])", DAY_COST),
+        (r"(?:0[1-9]|[12][0-9]|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)[0-9]{2}", DAY_COST),
+    )
+]
 
 
 def _char_cost(char: str) -> float:
@@ -86,12 +93,48 @@ def mixed_char_cost(value: str) -> Callable[[str], float]:
     return lambda char: ascii_cost if char.isascii() else _char_cost(char)
 
 
+class _WalkStarts:
+    """Starts within one keyboard walk, and the least of their cost plus the logarithm of the length from them.
+
+    An earlier start that is once as good as a later one stays so, as the logarithms grow alike. So only those
+    are held, the latest on top, that are the best for a while and give way to the one below: each start comes and
+    goes once.
+    """
+
+    def __init__(self):
+        self.held: list[tuple[int, float]] = []
+
+    @staticmethod
+    def _gives_way(early: tuple[int, float], late: tuple[int, float]) -> float:
+        """From which end on the early start is as good as the late one."""
+        ratio = 10 ** (late[1] - early[1])
+        if ratio <= 1:
+            return math.inf
+        return (ratio * late[0] - early[0]) / (ratio - 1)
+
+    def least(self, stop: int, start: int, cost: float) -> float:
+        """The least for a walk that ends at ``stop``, where ``start`` is new with its cost."""
+        held = self.held
+        while len(held) > 1 and self._gives_way(held[-2], held[-1]) <= stop:
+            held.pop()
+        new = (start, cost)
+        if not held or self._gives_way(held[-1], new) > stop:
+            while held and (
+                held[-1][1] >= cost
+                or len(held) > 1 and self._gives_way(held[-2], held[-1]) <= self._gives_way(held[-1], new)
+            ):
+                held.pop()
+            held.append(new)
+        return held[-1][1] + math.log10(stop - held[-1][0])
+
+
 def guess_cost(value: str, longest_period: int = 8, char_cost: Callable[[str], float] = _char_cost) -> float:
     """The least power of ten of guesses by which words, dates, repeats, keyboard walks and single characters
     put together the value; ``char_cost`` gives what a single one takes.
 
-    ``best[i]`` is the cost of the first ``i`` characters; every span that ends a
-    part there is tried. All spans are found with work in proportion to the
+    ``best[i]`` is the cost of the first ``i`` characters; every word, year, date and
+    walk that ends there is tried, parts of longer walks too, and of repeats the whole run of copies.
+    All are found with work in proportion to the
     length, so a value may be as long as its text.
     """
     n = len(value)
@@ -110,23 +153,21 @@ def guess_cost(value: str, longest_period: int = 8, char_cost: Callable[[str], f
                 plain_case = shape == shape.lower()
                 cost += 0 if plain_case else 0.3 if shape[0].isupper() and shape[1:] == shape[1:].lower() else 1.0
                 ends[stop].append((start, cost))
-    for match in DATE.finditer(value):
-        start, stop = match.start(1), match.end(1)
-        ends[stop].append((start, math.log10(200 if stop - start == 4 else 200 * 365)))
-    walk = 0
-    for at in range(1, n + 1):
-        if at < n and (lower[at - 1], lower[at]) in NEXT:
-            continue
-        if at - walk >= 3:
-            ends[at].append((walk, 2.0 + math.log10(at - walk)))
-        walk = at
+    for pattern, cost in DATES:
+        for match in pattern.finditer(value):
+            ends[match.end(1)].append((match.start(1), cost))
     single = [char_cost(char) for char in value]
     best = [0.0] * (n + 1)
+    walk, starts = 0, _WalkStarts()
     runs = [0] * (longest_period + 1)  # characters up to here that equal those one period before
     for stop in range(1, n + 1):
         least = best[stop - 1] + single[stop - 1]
         for start, cost in ends[stop]:
             least = min(least, best[start] + cost)
+        if stop > 1 and (lower[stop - 2], lower[stop - 1]) not in NEXT:
+            walk, starts = stop - 1, _WalkStarts()
+        if stop - walk >= 3:
+            least = min(least, WALK_COST + starts.least(stop, stop - 3, best[stop - 3]))
         for period in range(1, longest_period + 1):
             same = stop > period and value[stop - 1] == value[stop - 1 - period]
             runs[period] = runs[period] + 1 if same else 0

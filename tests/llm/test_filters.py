@@ -82,6 +82,48 @@ def test_guess_cost_is_the_least(spark):
         assert math.isclose(secrets.guess_cost(value), brute_cost(value), abs_tol=1e-9), value
 
 
+def brute_parts(value):
+    """As brute_cost, where a part may also be a keyboard walk, a year or a date."""
+    day, month, year = "(0[1-9]|[12][0-9]|3[01])", "(0[1-9]|1[0-2])", "(19|20)[0-9][0-9]"
+    join = "[-/._]?"
+
+    def part(text):
+        costs = [brute_cost(text)] if len(text) == 1 else []
+        low = text.lower()
+        if low in secrets.RANK and text == low:
+            costs.append(secrets.RANK[low])
+        if len(text) > 2 and all(pair in secrets.NEXT for pair in zip(low, low[1:])):
+            costs.append(2 + math.log10(len(text)))
+        if re.fullmatch(year, text):
+            costs.append(math.log10(200))
+        if re.fullmatch(f"{year}{join}{month}{join}{day}|{day}{join}{month}{join}{year}", text):
+            costs.append(math.log10(200 * 365))
+        return costs
+
+    best = [0.0] + [math.inf] * len(value)
+    for end in range(1, len(value) + 1):
+        best[end] = min(best[start] + cost for start in range(end) for cost in part(value[start:end]))
+        for period in range(1, 9):
+            run = 0
+            while run + period < end and value[end - 1 - run] == value[end - 1 - run - period]:
+                run += 1
+            if run >= period:
+                best[end] = min(best[end], best[end - run // period * period] + math.log10(run // period + 1))
+    return best[-1]
+
+
+def test_guess_cost_is_the_least_with_walks_and_dates():
+    assert math.isclose(secrets.guess_cost("qwertyuser"), 2 + math.log10(6) + secrets.RANK["user"])
+    rnd = random.Random(3)
+    parts = ["qwertyu", "ser", "user", "asdf", "admin", "1234", "56", "2019", "04", "12", "-", "0412", "wq", "wqw", "cde", "te", "st", "q"]
+    for _ in range(1500):
+        value = "".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 9)))
+        assert math.isclose(secrets.guess_cost(value), brute_parts(value), abs_tol=1e-9), value
+    for _ in range(300):  # walks to and fro, and words that begin or end in them
+        value = "".join(rnd.choice(["qw", "er", "re", "we", "ty", "test", "user", "red"]) for _ in range(rnd.randrange(3, 20)))
+        assert math.isclose(secrets.guess_cost(value), brute_parts(value), abs_tol=1e-9), value
+
+
 def test_guess_cost_knows_the_patterns():
     cost = secrets.guess_cost
     assert cost("qwertyuiop") < 4 < cost("qzertxuiap")
