@@ -306,22 +306,10 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     return picked.select(text).mapInArrow(run, "node string, shingles binary")
 
 
-def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", counted: bool = False) -> DataFrame:
-    """(key, text_code, node, class_id): each row's class of near duplicates, named by the least key in it.
-
-    Two texts are linked if the sets of their five-word shingles (words as runs of
-    letters and digits, A-Z in lower case) have a Jaccard similarity of 0.8 or
-    more; a class is what links connect. Copies and texts with the same set fall
-    together at once. Bands of DartMinHash signatures find the candidates; within
-    what shared bands connect (a crowd) similarities are counted exactly in
-    blocks of bounded size, and only links that connect something leave a task.
-    The work in a crowd grows with its number of blocks squared, where a block
-    has up to 400,000 shingles of different texts; copies take no part in it.
+def _classes(docs: DataFrame, key: str, text: str, counted: bool) -> DataFrame:
+    """(key, text_code, node, one): each row with the (none, key, text_code) that comes first in its class.
 
-    Null and empty texts and others without words are each a class of their own,
-    named by their key. Keys should be unique and not null: rows that share a key
-    share nothing else, a class without any key has a null name. ``text_code`` is
-    a hash of the text. An empty table gives an empty result.
+    ``none`` tells a row without a key; those come last. ``one`` is null for a row that is alone in its class.
     """
     ready(docs.sparkSession)
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("text_code"))
@@ -334,13 +322,34 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     wanted = members.select(F.col("one.text_code").alias("w_code"), F.col("one.key").alias("w_key"))
     links = materialize(_links(_sets_of(rows, wanted, "text"), _blocks(members)), "links")
     labels = connected_components(links)
-    least = named.join(labels, "node").groupBy("label").agg(F.min("key").alias("name"))
-    linked = materialize(labels.join(least, "label").select("node", "name"), "classes")
-    copies = named.groupBy("node").agg(F.min("key").alias("name"), F.count("*").alias("n")).where("n > 1")
-    copies = copies.join(linked.select("node"), "node", "left_anti").select("node", "name")
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_code")).alias("one")
+    least = named.join(labels, "node").groupBy("label").agg(first)
+    linked = materialize(labels.join(least, "label").select("node", "one"), "classes")
+    copies = named.groupBy("node").agg(first, F.count("*").alias("n")).where("n > 1")
+    copies = copies.join(linked.select("node"), "node", "left_anti").select("node", "one")
     names = materialize(linked.union(copies), "class-names")
-    result = sketches.select("key", "text_code", "node").join(names, "node", "left")
-    return result.select("key", "text_code", "node", F.coalesce("name", "key").alias("class_id"))
+    return sketches.select("key", "text_code", "node").join(names, "node", "left").select("key", "text_code", "node", "one")
+
+
+def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", counted: bool = False) -> DataFrame:
+    """(key, text_code, node, class_id): each row's class of near duplicates, named by the least key in it.
+
+    Two texts are linked if the sets of their five-word shingles (words as runs of
+    letters and digits, A-Z in lower case) have a Jaccard similarity of 0.8 or
+    more; a class is what links connect. Copies and texts with the same set fall
+    together at once. Bands of DartMinHash signatures find the candidates; within
+    what shared bands connect (a crowd) similarities are counted exactly in
+    blocks of bounded size, and only links that connect something leave a task.
+    The work in a crowd grows with its number of blocks squared, where a block
+    has up to 400,000 shingles of different texts; copies take no part in it.
+
+    Null and empty texts and others without words are each a class of their own,
+    named by their key. Rows that share a key share nothing else, so where keys are
+    repeated two classes may have one name; a class without any key has a null
+    name. ``text_code`` is a hash of the text. An empty table gives an empty result.
+    """
+    found = _classes(docs, key, text, counted)
+    return found.select("key", "text_code", "node", F.coalesce("one.key", "key").alias("class_id"))
 
 
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
@@ -351,17 +360,25 @@ def near_duplicate_report(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class, that with the key that names it; columns as they are.
 
-    Rows without words and rows without a key all stay. Rows repeated with key
-    and text stay once.
+    Of rows that share this key that with the least hash of its text stays, also
+    where a class has no key at all. Keys may be repeated: a row goes only if its
+    own text has another row in its class. Rows without words all stay. Rows
+    repeated with key and text stay once, but those without both words and key.
     """
-    found = materialize(near_duplicate_classes(docs, key, text).select("key", "class_id"), "near-duplicates")
-    gone = found.where("class_id <> key").select(F.col("key").alias("__gone"))
-    kept = docs.join(broadcast_if_small(gone), docs[key].cast("bigint") == F.col("__gone"), "left_anti")
-    repeated = found.where("key IS NOT NULL").groupBy("key").count().where("count > 1")
-    repeated = materialize(repeated.select(F.col("key").alias("__again")), "repeated-keys")
+    found = _classes(docs, key, text, False)
+    first = F.col("one").isNull() | F.col("key").eqNullSafe(F.col("one.key")) & (F.col("text_code") == F.col("one.text_code"))
+    found = materialize(found.select("key", "text_code", "node", first.alias("first")), "near-duplicates")
+
+    def is_in(df: DataFrame, keys: DataFrame):
+        return df[key].cast("bigint").eqNullSafe(keys["__key"]) & (F.xxhash64(df[text]) == keys["__code"])
+
+    names = [F.col("key").alias("__key"), F.col("text_code").alias("__code")]
+    gone = broadcast_if_small(found.where("NOT first").select(*names))
+    kept = docs.join(gone, is_in(docs, gone), "left_anti")
+    repeated = found.where("first AND (key IS NOT NULL OR node IS NOT NULL)").groupBy("key", "text_code").count()
+    repeated = materialize(repeated.where("count > 1").select(*names), "repeated-keys")
     if repeated.isEmpty():
         return kept
     again = broadcast_if_small(repeated)
-    same = kept[key].cast("bigint") == F.col("__again")
-    once = kept.join(again, same, "left_semi").dropDuplicates([key, text])
-    return kept.join(again, same, "left_anti").unionByName(once)
+    once = kept.join(again, is_in(kept, again), "left_semi").dropDuplicates([key, text])
+    return kept.join(again, is_in(kept, again), "left_anti").unionByName(once)

@@ -210,6 +210,24 @@ def test_classes_take_odd_rows(spark, odd, none):
     assert near_dup.keep_one_of_each(none).count() == 0
 
 
+def test_repeated_and_missing_keys_cost_no_text(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (1, "a copy of one"), (2, "a copy of one"), (2, "another text"), (3, long), (3, long + " more"), (3, long),
+        (4, "a text with a key"), (None, "a text with a key"), (None, "one without"), (None, "one without"), (None, "One without!"),
+        (None, None), (None, None), (5, None), (6, ""), (7, "first under seven"), (7, "second under seven"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = collections.Counter((r.doc_id, r.text) for r in near_dup.keep_one_of_each(docs).collect())
+    either = [n for row, n in kept.items() if row in {(3, long), (3, long + " more")}]
+    neither = [n for row, n in kept.items() if row in {(None, "one without"), (None, "One without!")}]
+    assert either == [1] and neither == [1]
+    for row in [(1, "a copy of one"), (2, "another text"), (4, "a text with a key"), (5, None), (6, ""), *rows[-2:]]:
+        assert kept.pop(row) == 1, row
+    assert kept.pop((None, None)) == 2
+    assert sum(kept.values()) == 2
+
+
 def test_darts_estimate_the_weighted_similarity():
     rnd = np.random.default_rng(5)
     elements = rnd.integers(1, 1 << 62, 300).astype(np.uint64)
