@@ -162,15 +162,21 @@ def _digests(owner: np.ndarray, shingles: np.ndarray, n: int) -> tuple[np.ndarra
 def sketch(docs: DataFrame, text: str = "text", counted: bool = False) -> DataFrame:
     """``key``, ``text_code``, ``node`` (digest of the shingle set), ``size`` and ``bands`` for each row of (key, text).
 
-    ``counted`` weighs a shingle by its number of occurrences instead of 1. Texts
-    without words have a null ``node``.
+    ``counted`` weighs a shingle by its number of occurrences instead of 1. A text
+    without words has a ``size`` of 0 and its own digest as ``node``; that is null
+    if it is null or blank.
     """
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, SKETCH_BYTES):
-            owner, shingles, times = shingle_sets(utf8(batch, text))
+            texts = utf8(batch, text)
+            owner, shingles, times = shingle_sets(texts)
             bounds, nodes = _digests(owner, shingles, batch.num_rows)
+            nodes = [
+                "text-" + xxhash.xxh3_128_hexdigest(one) if node is None and one and one.strip() else node
+                for node, one in zip(nodes, texts)
+            ]
             weights = times if counted else np.ones(len(times), np.int64)
             bands = _band_codes(dart_minhash(owner, shingles, weights, batch.num_rows, BANDS * ROWS))
             yield pa.RecordBatch.from_arrays(
@@ -194,7 +200,7 @@ def _crowds(sketches: DataFrame) -> DataFrame:
     as many edges as it has members. Nodes are told by 64-bit hashes here: two
     that fall together only make one crowd of two.
     """
-    rows = sketches.where("node IS NOT NULL").select(F.xxhash64("node").alias("code"), F.explode("bands").alias("bucket"))
+    rows = sketches.where("size > 0").select(F.xxhash64("node").alias("code"), F.explode("bands").alias("bucket"))
     buckets = rows.groupBy("bucket").agg(F.min("code").alias("least"), F.max("code").alias("most"))
     shared = materialize(buckets.where("least <> most").select("bucket", "least"), "shared-bands")
     edges = rows.join(shared, "bucket").where("code <> least").select(F.col("least").alias("a"), F.col("code").alias("b"))
@@ -343,8 +349,8 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     The work in a crowd grows with its number of blocks squared, where a block
     has up to 400,000 shingles of different texts; copies take no part in it.
 
-    Null and empty texts and others without words are each a class of their own,
-    named by their key. Rows that share a key share nothing else, so where keys are
+    Texts without words are put together if they are the same; null and blank
+    texts are each a class of their own, named by their key. Rows that share a key share nothing else, so where keys are
     repeated two classes may have one name; a class without any key has a null
     name. ``text_code`` is a hash of the text. An empty table gives an empty result.
     """
@@ -362,8 +368,8 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 
     Of rows that share this key that with the least hash of its text stays, also
     where a class has no key at all. Keys may be repeated: a row goes only if its
-    own text has another row in its class. Rows without words all stay. Rows
-    repeated with key and text stay once, but those without both words and key.
+    own text has another row in its class. Rows without text all stay. Rows
+    repeated with key and text stay once, but those without both text and key.
     """
     found = _classes(docs, key, text, False)
     first = F.col("one").isNull() | F.col("key").eqNullSafe(F.col("one.key")) & (F.col("text_code") == F.col("one.text_code"))

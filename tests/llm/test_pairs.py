@@ -210,6 +210,14 @@ def test_classes_take_odd_rows(spark, odd, none):
     assert near_dup.keep_one_of_each(none).count() == 0
 
 
+def test_copies_without_words_fall_together(spark):
+    texts = ["?!", "-----", "?!", "-----", " ?!", None, "", "", " \n", " \n", "-----", "one word"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.class_id for r in near_dup.near_duplicate_report(docs).collect()}
+    assert found == {i: i for i in range(12)} | {2: 0, 3: 1, 10: 1}
+    assert {r.doc_id for r in near_dup.keep_one_of_each(docs).collect()} == set(range(12)) - {2, 3, 10}
+
+
 def test_repeated_and_missing_keys_cost_no_text(spark):
     long = " ".join(f"w{i}" for i in range(60))
     rows = [
