@@ -18,6 +18,8 @@ BITS = 15
 SMOOTHING = 0.5
 #: About so many labelled rows are learned from (all of them where there are fewer).
 MAX_TRAIN_DOCS = 50_000
+#: Shares of a language's rows are taken in steps of one by this.
+SHARES = 1 << 40
 #: The broadcast matrix of log-probabilities may have this many bytes.
 MAX_MODEL_BYTES = 64 << 20
 UNKNOWN = "und"
@@ -48,6 +50,16 @@ def _buckets(points: np.ndarray, size: int, bits: int) -> np.ndarray:
     return (mixed * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _shares(totals: dict[str, int], max_docs: int) -> dict[str, float]:
+    """The share of each language's rows to learn from, about ``max_docs`` rows in all."""
+    shares, left = {}, max_docs
+    for i, (language, total) in enumerate(sorted(totals.items(), key=lambda item: item[1])):
+        taken = min(total, left / (len(totals) - i))
+        shares[language] = taken / total
+        left -= taken
+    return shares
+
+
 def train_language_model(
     labelled: DataFrame,
     text: str = "text",
@@ -58,16 +70,25 @@ def train_language_model(
 ) -> LanguageModel:
     """Learn from rows with text and label; rows lacking one are ignored.
 
-    Where there are more than ``max_docs`` of them, those are taken whose hashed
-    ``key`` falls below that share. Every task sums its counts per language and
+    Where there are more than ``max_docs`` of them, each language gets an equal
+    part of that number; one with fewer rows is learned whole and leaves the rest
+    to the others. Of a language with more, the rows are taken whose hashed
+    ``key`` falls below its share. How likely a language is beforehand comes from
+    all labelled rows. Every task sums its counts per language and
     bucket before they are shuffled; the driver gets at most one count for each
     language and bucket. Without any labelled row the model knows no language.
     """
     ready(labelled.sparkSession)
     rows = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull())
-    total = rows.count()
-    if total > max_docs:
-        rows = rows.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(1_000_000 * max_docs / total))
+    most = MAX_MODEL_BYTES // (4 << bits)
+    found = rows.groupBy(F.col(label).cast("string").alias("language")).count().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} languages in {1 << bits} buckets are more than {MAX_MODEL_BYTES} bytes")
+    totals = {row["language"]: row["count"] for row in found}
+    below = {language: int(SHARES * share) for language, share in _shares(totals, max_docs).items() if share < 1}
+    if below:
+        limit = F.create_map(*[F.lit(part) for pair in below.items() for part in pair])[F.col(label).cast("string")]
+        rows = rows.where(limit.isNull() | (F.pmod(F.xxhash64(key), F.lit(SHARES)) < limit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_state()
@@ -98,17 +119,14 @@ def train_language_model(
     counted = small.mapInArrow(run, "language string, bucket bigint, n bigint")
     sums = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n"))
     languages = sorted(row.language for row in sums.where("bucket = -1").select("language").collect())
-    if len(languages) * 4 << bits > MAX_MODEL_BYTES:
-        raise ValueError(f"{len(languages)} languages in {1 << bits} buckets are more than {MAX_MODEL_BYTES} bytes")
     table = sums.toArrow()
     place = {language: i for i, language in enumerate(languages)}
     columns = np.array([place[name] for name in table["language"].to_pylist()], np.int64)
     buckets, n = table["bucket"].to_numpy(), table["n"].to_numpy()
     counts = np.zeros((1 << bits, len(languages)))
-    prior = np.zeros(len(languages))
+    prior = np.array([totals[language] for language in languages], float)
     feature = buckets >= 0
     counts[buckets[feature], columns[feature]] = n[feature]
-    prior[columns[~feature]] = n[~feature]
     smooth = counts + SMOOTHING
     return LanguageModel(
         languages,

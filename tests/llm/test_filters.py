@@ -372,6 +372,21 @@ def test_only_labelled_rows_teach(spark, odd, none):
     assert {r.lang_pred for r in langid.predict_language(odd, empty).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned_whole(spark):
+    rows = [(i, f"ab{i % 7} cd ef", "big") for i in range(3000)] + [(i, f"gh{i % 7} ij", "mid") for i in range(3000, 4000)]
+    rows += [(i, "xyz zyx", "rare") for i in range(4000, 4004)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train_language_model(docs, max_docs=200)
+    assert model.languages == ["big", "mid", "rare"]
+    assert np.allclose(np.exp(model.log_prior), np.array([3000, 1000, 4]) / 4004)
+    whole = langid.train_language_model(docs.where("lang = 'rare'"))
+    assert np.allclose(model.log_prob[:, 2], whole.log_prob[:, 0])
+    asked = spark.createDataFrame([(1, "xyz zyx")], "doc_id long, text string")
+    assert langid.predict_language(asked, model).first().lang_pred == "rare"
+    shares = langid._shares({"big": 3000, "mid": 1000, "rare": 4}, 200)
+    assert shares == {"rare": 1.0, "mid": 98 / 1000, "big": 98 / 3000}
+
+
 def test_sample_bound(spark):
     docs = language_docs(spark, 400)
     model = langid.train_language_model(docs, max_docs=100)
