@@ -159,6 +159,16 @@ def _digests(owner: np.ndarray, shingles: np.ndarray, n: int) -> tuple[np.ndarra
     ]
 
 
+def _each_time(owner: np.ndarray, shingles: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A code of its own for each time a shingle occurs, by text and code: the Jaccard similarity of such sets is the
+    weighted one, sum of least by sum of largest counts."""
+    owner, shingles = np.repeat(owner, times), np.repeat(shingles, times)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times)
+    codes = np.where(nth > 0, _mix(shingles + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), shingles)
+    order = np.lexsort((codes, owner))
+    return owner[order], codes[order]
+
+
 def sketch(docs: DataFrame, text: str = "text", counted: bool = False) -> DataFrame:
     """``key``, ``text_code``, ``node`` (digest of the shingle set), ``size`` and ``bands`` for each row of (key, text).
 
@@ -172,7 +182,7 @@ def sketch(docs: DataFrame, text: str = "text", counted: bool = False) -> DataFr
         for batch in slices(batches, text, SKETCH_BYTES):
             texts = utf8(batch, text)
             owner, shingles, times = shingle_sets(texts)
-            bounds, nodes = _digests(owner, shingles, batch.num_rows)
+            bounds, nodes = _digests(*(_each_time(owner, shingles, times) if counted else (owner, shingles)), batch.num_rows)
             nodes = [
                 "text-" + xxhash.xxh3_128_hexdigest(one) if node is None and one and one.strip() else node
                 for node, one in zip(nodes, texts)
@@ -291,8 +301,8 @@ def _links(sets: DataFrame, units: DataFrame) -> DataFrame:
     return joined.groupBy("unit").applyInArrow(run, "a string, b string")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
-    """(node, shingles as bytes) of the rows whose (text_code, key) is wanted."""
+def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, counted: bool) -> DataFrame:
+    """(node, shingles as bytes) of the rows whose (text_code, key) is wanted; each time it occurs if ``counted``."""
     wanted = broadcast_if_small(wanted, MAX_BROADCAST_ROWS)
     picked = docs.join(
         wanted, (docs.text_code == wanted.w_code) & docs.key.eqNullSafe(wanted.w_key), "left_semi"
@@ -300,7 +310,9 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, SKETCH_BYTES):
-            owner, shingles, _ = shingle_sets(utf8(batch, text))
+            owner, shingles, times = shingle_sets(utf8(batch, text))
+            if counted:
+                owner, shingles = _each_time(owner, shingles, times)
             bounds, nodes = _digests(owner, shingles, batch.num_rows)
             packed = [shingles[b:e].tobytes() for b, e in zip(bounds, bounds[1:])]
             rows = [(node, data) for node, data in zip(nodes, packed) if node is not None]
@@ -326,7 +338,7 @@ def _classes(docs: DataFrame, key: str, text: str, counted: bool) -> DataFrame:
     )
     members = materialize(members, "members")
     wanted = members.select(F.col("one.text_code").alias("w_code"), F.col("one.key").alias("w_key"))
-    links = materialize(_links(_sets_of(rows, wanted, "text"), _blocks(members)), "links")
+    links = materialize(_links(_sets_of(rows, wanted, "text", counted), _blocks(members)), "links")
     labels = connected_components(links)
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_code")).alias("one")
     least = named.join(labels, "node").groupBy("label").agg(first)
@@ -342,7 +354,8 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
 
     Two texts are linked if the sets of their five-word shingles (words as runs of
     letters and digits, A-Z in lower case) have a Jaccard similarity of 0.8 or
-    more; a class is what links connect. Copies and texts with the same set fall
+    more, with ``counted`` the weighted one over how often each shingle occurs;
+    a class is what links connect. Copies and texts with the same set fall
     together at once. Bands of DartMinHash signatures find the candidates; within
     what shared bands connect (a crowd) similarities are counted exactly in
     blocks of bounded size, and only links that connect something leave a task.

@@ -218,6 +218,16 @@ def test_copies_without_words_fall_together(spark):
     assert {r.doc_id for r in near_dup.keep_one_of_each(docs).collect()} == set(range(12)) - {2, 3, 10}
 
 
+def test_counted_classes_go_by_occurrences(spark):
+    once = [f"w{i}" for i in range(100)]
+    loop = [f"v{i}" for i in range(10)]
+    texts = [once + loop * 2, once + loop * 20, once + loop * 22, once + loop * 2 + ["end"]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    classes = lambda counted: {r.key: r.class_id for r in near_dup.near_duplicate_classes(docs, counted=counted).collect()}
+    assert set(classes(False).values()) == {0}
+    assert classes(True) == {0: 0, 1: 1, 2: 1, 3: 0}
+
+
 def test_repeated_and_missing_keys_cost_no_text(spark):
     long = " ".join(f"w{i}" for i in range(60))
     rows = [
