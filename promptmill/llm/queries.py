@@ -17,6 +17,7 @@ from promptmill.llm.spm import piece_report
 from promptmill.llm.token_counts import token_count_report
 from promptmill.llm.token_files import token_file_digest
 from promptmill.llm.url_rules import url_report, url_rules_sql
+from promptmill.llm.vector_forest import VECTOR_SQL, vector_report
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count_report(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op12_vector_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_report(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_files": op2_token_files,
@@ -70,10 +75,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_rules": op8_url_rules,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op12_vector_near_dups": op12_vector_near_dups,
 }
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": LINE_DEDUP_SQL,
     "op8_url_rules": url_rules_sql(),
     "op9_decontamination": CONTAMINATION_SQL,
+    "op12_vector_near_dups": VECTOR_SQL,
 }
