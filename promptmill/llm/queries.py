@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from promptmill.llm.decontaminate import CONTAMINATION_SQL, contamination_report
 from promptmill.llm.langid import language_report
+from promptmill.llm.lexical_search import SEARCH_SQL, search_report
 from promptmill.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
 from promptmill.llm.near_dup import near_duplicate_report
 from promptmill.llm.quality import quality_report
@@ -64,6 +65,10 @@ def op12_vector_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_report(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_files": op2_token_files,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
     "op12_vector_near_dups": op12_vector_near_dups,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -83,4 +89,5 @@ ORACLES: dict[str, str] = {
     "op8_url_rules": url_rules_sql(),
     "op9_decontamination": CONTAMINATION_SQL,
     "op12_vector_near_dups": VECTOR_SQL,
+    "op13_lexical_search": SEARCH_SQL,
 }
