@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from promptmill.llm.conversation_repair import repair_report
 from promptmill.llm.decontaminate import CONTAMINATION_SQL, contamination_report
 from promptmill.llm.langid import language_report
 from promptmill.llm.lexical_search import SEARCH_SQL, search_report
@@ -61,6 +62,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count_report(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_vector_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_report(read_table(spark, sf_dir, "embeddings"))
 
