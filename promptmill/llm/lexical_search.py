@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -20,7 +21,7 @@ TOP = 50
 #: Term owners: stages a bundle goes through, each reading only the postings of its owner.
 OWNERS = 4
 #: Documents of one slice; a bundle holds the scores of one item in one slice.
-DOCS_PER_SLICE = 20_000
+DOCS_PER_SLICE = 5_000
 #: Items whose bundles share one group of a stage; the postings of a slice go to each such block.
 ITEMS_PER_BLOCK = 256
 
@@ -30,15 +31,15 @@ def terms(text) -> "F.Column":
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
 
 
-def _add(key, bundles: pd.DataFrame, postings: pd.DataFrame) -> pd.DataFrame:
+def _add(key, bundles: pd.DataFrame, postings: pd.DataFrame, top: int = TOP) -> pd.DataFrame:
     """Bundles of one slice and item block after adding the contributions of their terms at this owner."""
     if bundles.empty:
         return bundles.iloc[:0][["item", "slice", "block", "rows", "docs", "scores"]]
     postings = postings.sort_values("term", kind="stable")
-    names = postings["term"].to_numpy()
+    names = postings["term"].to_numpy(np.int64)
     rows, docs, adds = (postings[c].to_numpy(np.int64) for c in ("row", "doc_id", "contrib"))
     out_rows, out_docs, out_scores = [], [], []
-    for have_rows, have_docs, have_scores, wanted in zip(bundles["rows"], bundles["docs"], bundles["scores"], bundles["terms"]):
+    for have_rows, have_docs, have_scores, wanted, rest in zip(bundles["rows"], bundles["docs"], bundles["scores"], bundles["terms"], bundles["rest"]):
         parts_r, parts_d, parts_s = [np.asarray(have_rows, np.int64)], [np.asarray(have_docs, np.int64)], [np.asarray(have_scores, np.int64)]
         for term in wanted if wanted is not None else ():
             lo, hi = np.searchsorted(names, term, "left"), np.searchsorted(names, term, "right")
@@ -52,6 +53,11 @@ def _add(key, bundles: pd.DataFrame, postings: pd.DataFrame) -> pd.DataFrame:
             r, d, s = r[order], d[order], s[order]
             first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
             r, d, s = r[first], d[first], np.add.reduceat(s, first)
+        if wanted is not None and len(s) > top:
+            # The top-th score of this slice is a floor of the final top-th score of all slices; what cannot reach it goes.
+            floor = np.partition(s, len(s) - top)[len(s) - top]
+            alive = s + int(rest) >= floor
+            r, d, s = r[alive], d[alive], s[alive]
         out_rows.append(r)
         out_docs.append(d)
         out_scores.append(s)
@@ -60,21 +66,24 @@ def _add(key, bundles: pd.DataFrame, postings: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _best(frames):
-    """Each bundle's TOP documents with a score above 0, highest first, equal scores by doc_id, then row."""
+def _best(frames, top: int = TOP):
+    """Each bundle's ``top`` documents with a score above 0, highest first, equal scores by doc_id, then row."""
     for frame in frames:
         out = []
         for item, rows, docs, scores in zip(frame["item"], frame["rows"], frame["docs"], frame["scores"]):
             r, d, s = (np.asarray(x, np.int64) for x in (rows, docs, scores))
             keep = s > 0
             r, d, s = r[keep], d[keep], s[keep]
-            order = np.lexsort((r, d, -s))[:TOP]
+            order = np.lexsort((r, d, -s))[:top]
             out.append(pd.DataFrame({"item": item, "row": r[order], "doc_id": d[order], "score": s[order]}))
         yield pd.concat(out) if out else pd.DataFrame({"item": [], "row": [], "doc_id": [], "score": []})
 
 
-def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(item_id, rank, doc_id, score): each item's TOP best documents by the integer score of the contract.
+def search(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
+    top: int = TOP,
+) -> DataFrame:
+    """(item_id, rank, doc_id, score): each item's ``top`` best documents by the integer score of the contract.
 
     Each row of ``docs`` is a document (rows sharing a key are scored apart and
     may both be returned), and each row of ``items`` an item (rows sharing an
@@ -85,11 +94,16 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     by the row's place in its table.
     Other columns are ignored. Empty tables give an empty result.
 
-    The postings of the items' terms are written once, partitioned by term owner.
-    A bundle is the sparse scores of one item in one slice of the documents; in
-    stage r the bundles meet, by a cogroup on (slice, item block), the postings
-    that owner r holds for that slice and add them. Bundles are written after
-    each stage, so a lost executor costs at most one stage.
+    Texts are tokenized once. The postings of the items' terms are written once,
+    partitioned by term owner; owners hold terms by document frequency, the
+    rarest at owner 0. A bundle is the sparse scores of one item in one slice of
+    the documents; in stage r the bundles meet, by a cogroup on (slice, item
+    block), the postings that owner r holds for that slice and add them. After
+    adding, a document whose score plus the most that the item's terms at later
+    owners can add stays below the slice's ``top``-th score is dropped: it cannot
+    reach the final ``top`` (exact, as scores only grow). Inside tasks a term is its
+    64-bit hash. Bundles are written after each stage, so a lost executor costs
+    at most one stage.
     """
     spark = ready(docs.sparkSession)
     # A row number below 0 marks a document without key; the order key puts those last.
@@ -101,14 +115,19 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
         F.monotonically_increasing_id().alias("item"), F.col(item_key).cast("bigint").alias("item_id"), F.array_distinct(terms(F.col(item_text))).alias("terms")
     )
     wanted = materialize(wanted, "search-items")
-    vocabulary = wanted.select(F.explode("terms").alias("term")).distinct()
-    occurring = rows.select("row", "doc_id", "n", F.explode("t").alias("term"))
-    occurring = occurring.join(broadcast_if_small(vocabulary), "term", "left_semi")
+    vocabulary = wanted.select(F.explode("terms").alias("term")).distinct().select("term", F.lit(True).alias("asked"))
+    # One pass over the texts: occurrences of asked terms, and one row per document for N and L.
+    occurring = rows.select("row", "doc_id", "n", F.explode_outer("t").alias("term"))
+    occurring = occurring.join(broadcast_if_small(vocabulary), "term", "left").select(
+        "row", "doc_id", "n", F.when(F.col("asked"), F.col("term")).alias("term")
+    )
     postings = materialize(occurring.groupBy("row", "doc_id", "n", "term").agg(F.count("*").alias("tf")), "search-postings")
-    stats = rows.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L"), F.count("*").alias("R")).first()
+    per_row = postings.groupBy("row").agg(F.max("n").alias("n"))
+    stats = per_row.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L"), F.count("*").alias("R")).first()
     big_n, big_l, row_count = int(stats["N"]), int(stats["L"]), int(stats["R"])
     if big_l == 0:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
+    postings = postings.where(F.col("term").isNotNull())
     slices = max(1, math.ceil(row_count / DOCS_PER_SLICE))
     item_count = wanted.count()
     blocks = max(1, math.ceil(item_count / ITEMS_PER_BLOCK))
@@ -116,16 +135,26 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     weight = F.floor(F.lit(1000.0) * F.log((2.0 * big_n + 2.0) / (F.lit(2.0) * F.col("df") + 1.0))).cast("bigint")
     m = F.lit(50) + F.expr(f"(50 * n * {big_n}) div {big_l}")
     tf_part = F.expr("(1000000000 * tf) div (1000 * tf + 20 * m)")
+    # Owners by document frequency: bundles meet the rarest terms first.
+    owner = F.least(F.lit(OWNERS - 1), F.floor(F.lit(float(OWNERS)) * F.log("df") / F.lit(math.log(big_n + 1.0)))).cast("int")
     scored = postings.join(broadcast_if_small(df), "term").withColumn("m", m).select(
-        F.pmod(F.xxhash64("term"), F.lit(OWNERS)).alias("owner"),
-        F.pmod(F.xxhash64("row"), F.lit(slices)).alias("slice"),
-        "term", "row", "doc_id", (weight * tf_part).alias("contrib"),
-    )
+        owner.alias("owner"),
+        F.pmod(F.xxhash64("row"), F.lit(slices)).cast("int").alias("slice"),
+        F.xxhash64("term").alias("code"), "term", "row", "doc_id", (weight * tf_part).alias("contrib"),
+    ).where(F.col("contrib") > 0)
     path = fresh_dir(spark, "search-owners")
     scored.write.partitionBy("owner").parquet(path)
-    owned = wanted.select("item", F.explode("terms").alias("term")).select(
-        "item", "term", F.pmod(F.xxhash64("term"), F.lit(OWNERS)).alias("owner")
-    ).groupBy("item", "owner").agg(F.collect_list("term").alias("terms"))
+    written = spark.read.schema(scored.schema).parquet(path)
+    most = written.groupBy("term", "owner").agg(F.max("contrib").alias("most"))
+    # Per item and owner: its term codes there, and the most its terms at later owners can still add.
+    later = Window.partitionBy("item").orderBy(F.col("owner").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    owned = (
+        wanted.select("item", F.explode("terms").alias("term"))
+        .join(broadcast_if_small(most), "term")
+        .groupBy("item", "owner")
+        .agg(F.collect_list(F.xxhash64("term")).alias("terms"), F.sum("most").alias("here"))
+        .withColumn("rest", F.coalesce(F.sum("here").over(later), F.lit(0)))
+    )
     owned = materialize(owned, "search-item-owners")
     block = F.pmod(F.xxhash64("item"), F.lit(blocks))
     bundles = wanted.select(
@@ -133,17 +162,15 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
         *[F.array().cast("array<bigint>").alias(name) for name in ("rows", "docs", "scores")],
     )
     schema = "item long, slice int, block int, rows array<long>, docs array<long>, scores array<long>"
-    for owner in range(OWNERS):
-        held = spark.read.schema(scored.schema).parquet(path).where(F.col("owner") == owner).select(
-            F.col("slice").cast("int").alias("slice"), "term", "row", "doc_id", "contrib"
-        )
+    for stage_owner in range(OWNERS):
+        held = written.where(F.col("owner") == stage_owner).select("slice", F.col("code").alias("term"), "row", "doc_id", "contrib")
         held = held.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-        visiting = bundles.join(owned.where(F.col("owner") == owner).select("item", "terms"), "item", "left")
-        stage = visiting.groupBy("slice", "block").cogroup(held.groupBy("slice", "block")).applyInPandas(_add, schema)
-        bundles = materialize(stage, f"search-bundles-{owner}")
-    best = bundles.mapInPandas(_best, "item long, row long, doc_id long, score long")
+        visiting = bundles.join(owned.where(F.col("owner") == stage_owner).select("item", "terms", "rest"), "item", "left")
+        stage = visiting.groupBy("slice", "block").cogroup(held.groupBy("slice", "block")).applyInPandas(functools.partial(_add, top=top), schema)
+        bundles = materialize(stage, f"search-bundles-{stage_owner}")
+    best = bundles.mapInPandas(functools.partial(_best, top=top), "item long, row long, doc_id long, score long")
     order = Window.partitionBy("item").orderBy(F.col("score").desc(), "doc_id", "row")
-    ranked = best.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= TOP)
+    ranked = best.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= top)
     ranked = ranked.join(broadcast_if_small(wanted.select("item", "item_id")), "item")
     return ranked.select("item_id", "rank", F.when(F.col("row") >= 0, F.col("doc_id")).alias("doc_id"), "score")
 

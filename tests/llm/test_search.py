@@ -16,7 +16,7 @@ def words(text):
     return TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
 
 
-def brute(docs, items):
+def brute(docs, items, top=50):
     """(item_id, rank, doc_id, score) with each row of docs a document."""
     bags = [Counter(words(t)) for _, t in docs]
     sizes = [sum(b.values()) for b in bags]
@@ -33,7 +33,7 @@ def brute(docs, items):
             )
             if score > 0:
                 scores.append((-score, doc if doc is not None else float("inf"), row, doc, score))
-        for rank, (_, _, _, doc, score) in enumerate(sorted(scores)[:50], 1):
+        for rank, (_, _, _, doc, score) in enumerate(sorted(scores)[:top], 1):
             out.append((at, (item, rank, doc, score)))
     return [r for _, r in sorted(out, key=lambda r: (r[0], r[1][1]))]
 
@@ -59,6 +59,15 @@ def test_against_plain_python(spark, monkeypatch, small):
     assert sorted(got, key=key) == sorted(brute(ODD_DOCS, ODD_ITEMS), key=key)
 
 
+def test_pruned_bundles_keep_the_best(spark, monkeypatch):
+    monkeypatch.setattr(lexical_search, "OWNERS", 3)
+    docs = [(i, " ".join(f"w{(i * k) % 17}" for k in range(1, 4 + i % 9)) + (" rare" if i % 23 == 0 else "")) for i in range(400)]
+    items = [(1, "rare w1 w2 w3"), (2, "w5 w7 rare"), (3, "w0")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(tuple(r) for r in lexical_search.search(df, spark.createDataFrame(items, "item_id long, text string"), top=3).collect())
+    assert got == sorted(brute(docs, items, top=3))
+
+
 def test_whole_table_against_sql(spark, monkeypatch):
     monkeypatch.setattr(lexical_search, "DOCS_PER_SLICE", 150)
     monkeypatch.setattr(lexical_search, "ITEMS_PER_BLOCK", 16)
