@@ -347,6 +347,13 @@ ORACLES = {
                      stddev_samp(reward_total) OVER g AS std, min(reward_total) OVER g AS low,
                      max(reward_total) OVER g AS high
               FROM scored WINDOW g AS (PARTITION BY prompt_id))""",
+    "stream_advantages": f"""{ALL_SCORES} SELECT gen_id, prompt_id,
+        round(CASE WHEN n = 1 OR low = high THEN 0.0
+              ELSE (reward_total - mean) / (std + CAST(0.0001 AS DOUBLE)) END, 6) + 0.0 AS advantage
+        FROM (SELECT *, count(*) OVER g AS n, avg(reward_total) OVER g AS mean,
+                     stddev_samp(reward_total) OVER g AS std, min(reward_total) OVER g AS low,
+                     max(reward_total) OVER g AS high
+              FROM scored WINDOW g AS (PARTITION BY prompt_id))""",
     "reward_messages": f"{ALL_SCORES} SELECT gen_id, {SCORE_COLUMNS}, reward_total FROM scored",
     "best_of_n": f"""{ALL_SCORES} SELECT prompt_id, gen_id, completion, reward_total
         FROM (SELECT *, row_number() OVER (PARTITION BY prompt_id ORDER BY reward_total DESC, gen_id)

@@ -22,7 +22,7 @@ from promptmill.sources import tables
 from promptmill.sources.images import bare_path
 from promptmill.sources.department_csv import DEPARTMENTS, attach_department
 from promptmill.sinks import writers
-from promptmill.streaming import streams
+from promptmill.streaming import group_state, streams
 from promptmill.workspace import fresh_dir, materialize, prepare_session, touch
 
 CUSTOM_TEMPLATE = "Q({1}): {0}\n{{json}} 100%s\nA: {2} / {0}"
@@ -711,6 +711,27 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("gen_id", *REWARD_NAMES, "reward_total")
 
 
+def stream_advantages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completions arriving in four parts in shuffled order; each prompt's advantages once its group is complete.
+
+    Every completion carries the size of its group (the generations asked for
+    its prompt); a group that stays incomplete is emitted when its timer fires.
+    """
+    rows = inputs.completion_rows(spark, sf_dir)
+    asked = rows.groupBy("prompt_id").agg(F.count("*").alias("n_generations"))
+    landed = fresh_dir(spark, "arriving-completions")
+    rows.join(asked, "prompt_id").repartition(4, F.xxhash64("gen_id")).write.parquet(landed)
+    arriving = streams.read_arriving(spark, landed, spark.read.parquet(landed).schema, maxFilesPerTrigger=1)
+    prompts = scoring.build_prompts(inputs.prompt_rows(spark, sf_dir))
+    result = streams.run_to_end(
+        lambda batch: group_state.stream_advantages(streams.stream_score(batch, prompts)),
+        arriving,
+        fresh_dir(spark, "stream-advantages"),
+        fresh_dir(spark, "stream-advantages-state"),
+    )
+    return result.select("gen_id", "prompt_id", (F.round("advantage", 6) + F.lit(0.0)).alias("advantage"))
+
+
 def _prepared(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -737,6 +758,6 @@ QUERIES = {
         vision_records, vision_pixels, to_rgb, vision_inference, image_exists, image_missing,
         vision_rejects, image_stores, vision_files, vision_file_rejects,
         decode_csv, file_rejects, training_set_files, prompt_set_files, vision_set_files, reject_files,
-        stream_format, stream_score,
+        stream_format, stream_score, stream_advantages,
     )
 }
