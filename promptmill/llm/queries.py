@@ -85,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_rules": op8_url_rules,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_vector_near_dups": op12_vector_near_dups,
     "op13_lexical_search": op13_lexical_search,
 }
