@@ -449,4 +449,9 @@ ORACLES = {
     "stream_format": f"""SELECT doc_id, {instruction_text('source', 'lang', 'text')} AS text
         FROM documents""",
     "stream_score": f"{ALL_SCORES} SELECT gen_id, {SCORE_COLUMNS}, reward_total FROM scored",
+    "stream_samples": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}
+        SELECT '请回答以下医疗相关问题' AS instruction, question AS input, answer AS output,
+               conv_id, turn FROM labelled WHERE reject_reason IS NULL""",
+    "stream_rejects": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}
+        SELECT conv_id, turn, reject_reason FROM labelled WHERE reject_reason IS NOT NULL""",
 }

@@ -22,7 +22,7 @@ from promptmill.sources import tables
 from promptmill.sources.images import bare_path
 from promptmill.sources.department_csv import DEPARTMENTS, attach_department
 from promptmill.sinks import writers
-from promptmill.streaming import group_state, streams
+from promptmill.streaming import exactly_once, group_state, streams
 from promptmill.workspace import fresh_dir, materialize, prepare_session, touch
 
 CUSTOM_TEMPLATE = "Q({1}): {0}\n{{json}} 100%s\nA: {2} / {0}"
@@ -732,6 +732,33 @@ def stream_advantages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("gen_id", "prompt_id", (F.round("advantage", 6) + F.lit(0.0)).alias("advantage"))
 
 
+def _split_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Question and answer rows arriving in four parts; samples and rejects written exactly once."""
+    landed = fresh_dir(spark, "arriving-qa")
+    inputs.raw_qa(spark, sf_dir).repartition(4, F.xxhash64("conv_id", "turn")).write.parquet(landed)
+    arriving = streams.read_arriving(spark, landed, spark.read.parquet(landed).schema, maxFilesPerTrigger=1)
+
+    def label(batch: DataFrame) -> DataFrame:
+        labelled = cleaning.label_qa(cleaning.pick_qa_columns(batch), CLEANING)
+        return labelled.select("conv_id", "turn", "question", "answer", "reject_reason")
+
+    return exactly_once.run_split_stream(
+        label, arriving, fresh_dir(spark, "stream-samples"), fresh_dir(spark, "stream-rejects"), fresh_dir(spark, "stream-split-state")
+    )
+
+
+def stream_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples, _ = _split_stream(spark, sf_dir)
+    return samples.select(
+        F.lit(cleaning.MEDICAL_INSTRUCTION).alias("instruction"), F.col("question").alias("input"), F.col("answer").alias("output"), "conv_id", "turn"
+    )
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejects = _split_stream(spark, sf_dir)
+    return rejects.select("conv_id", "turn", "reject_reason")
+
+
 def _prepared(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -758,6 +785,6 @@ QUERIES = {
         vision_records, vision_pixels, to_rgb, vision_inference, image_exists, image_missing,
         vision_rejects, image_stores, vision_files, vision_file_rejects,
         decode_csv, file_rejects, training_set_files, prompt_set_files, vision_set_files, reject_files,
-        stream_format, stream_score, stream_advantages,
+        stream_format, stream_score, stream_advantages, stream_samples, stream_rejects,
     )
 }
