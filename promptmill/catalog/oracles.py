@@ -449,6 +449,10 @@ ORACLES = {
     "stream_format": f"""SELECT doc_id, {instruction_text('source', 'lang', 'text')} AS text
         FROM documents""",
     "stream_score": f"{ALL_SCORES} SELECT gen_id, {SCORE_COLUMNS}, reward_total FROM scored",
+    "stream_reward_windows": f"""{ALL_SCORES}, long AS (UNPIVOT (SELECT (CAST(gen_id AS BIGINT) // 32 // 10) * 10 AS logging_step,
+          {SCORE_COLUMNS}, reward_total FROM scored) ON {SCORE_COLUMNS}, reward_total INTO NAME reward_name VALUE reward)
+        SELECT CAST(logging_step AS BIGINT) AS logging_step, reward_name, round(avg(reward), 9) + 0.0 AS mean_reward
+        FROM long GROUP BY logging_step, reward_name""",
     "stream_samples": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}
         SELECT '请回答以下医疗相关问题' AS instruction, question AS input, answer AS output,
                conv_id, turn FROM labelled WHERE reject_reason IS NULL""",

@@ -22,7 +22,7 @@ from promptmill.sources import tables
 from promptmill.sources.images import bare_path
 from promptmill.sources.department_csv import DEPARTMENTS, attach_department
 from promptmill.sinks import writers
-from promptmill.streaming import exactly_once, group_state, streams
+from promptmill.streaming import exactly_once, group_state, streams, windows
 from promptmill.workspace import fresh_dir, materialize, prepare_session, touch
 
 CUSTOM_TEMPLATE = "Q({1}): {0}\n{{json}} 100%s\nA: {2} / {0}"
@@ -759,6 +759,30 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("conv_id", "turn", "reject_reason")
 
 
+#: Completions of one training step: order keys are dealt in runs of 32; logging every ten steps.
+STEP_KEYS, LOGGING_STEPS = 32, 10
+
+
+def stream_reward_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reward means per logging window while scored completions arrive, four parts in any order.
+
+    The watermark's delay spans all steps of the landed rows, as the parts may
+    come in any order; windows stay in the state store until it passes them.
+    """
+    rows = inputs.completion_rows(spark, sf_dir).withColumn("step", F.col("gen_id").cast("bigint") / STEP_KEYS)
+    rows = rows.withColumn("step", F.floor("step"))
+    landed = fresh_dir(spark, "arriving-steps")
+    rows.repartition(4, F.xxhash64("gen_id")).write.parquet(landed)
+    span = spark.read.parquet(landed).agg(F.max("step") - F.min("step") + 1).first()[0] or 1
+    arriving = streams.read_arriving(spark, landed, spark.read.parquet(landed).schema, maxFilesPerTrigger=1)
+    prompts = scoring.build_prompts(inputs.prompt_rows(spark, sf_dir))
+    names = [*REWARD_NAMES, "reward_total"]
+    means = windows.window_means(streams.stream_score(arriving, prompts), names, "step", LOGGING_STEPS, int(span))
+    found = windows.run_window_means(means, fresh_dir(spark, "reward-windows"), fresh_dir(spark, "reward-windows-state"))
+    long = found.unpivot(["logging_step"], names, "reward_name", "mean_reward")
+    return long.select("logging_step", "reward_name", (F.round("mean_reward", 9) + F.lit(0.0)).alias("mean_reward"))
+
+
 def _prepared(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -785,6 +809,6 @@ QUERIES = {
         vision_records, vision_pixels, to_rgb, vision_inference, image_exists, image_missing,
         vision_rejects, image_stores, vision_files, vision_file_rejects,
         decode_csv, file_rejects, training_set_files, prompt_set_files, vision_set_files, reject_files,
-        stream_format, stream_score, stream_advantages, stream_samples, stream_rejects,
+        stream_format, stream_score, stream_advantages, stream_samples, stream_rejects, stream_reward_windows,
     )
 }
