@@ -302,6 +302,21 @@ ORACLES = {
         FROM documents JOIN departments ON CAST(substr(source, 4) AS INTEGER) % 6 = number""",
     "table_profile": """SELECT 'page_id, url, html' AS columns, count(*) AS n_rows,
         3 AS n_columns FROM pages""",
+    "column_profile": """SELECT 'doc_id' AS column, count(*) AS n_rows, count(*) - count(doc_id) AS n_null,
+               count(*) FILTER (WHERE CAST(doc_id AS VARCHAR) = '') AS n_empty, CAST(min(length(CAST(doc_id AS VARCHAR))) AS BIGINT) AS min_length,
+               CAST(max(length(CAST(doc_id AS VARCHAR))) AS BIGINT) AS max_length, CAST(coalesce(sum(length(CAST(doc_id AS VARCHAR))), 0) AS BIGINT) AS sum_length FROM documents
+        UNION ALL SELECT 'text' AS column, count(*) AS n_rows, count(*) - count(text) AS n_null,
+               count(*) FILTER (WHERE CAST(text AS VARCHAR) = '') AS n_empty, CAST(min(length(CAST(text AS VARCHAR))) AS BIGINT) AS min_length,
+               CAST(max(length(CAST(text AS VARCHAR))) AS BIGINT) AS max_length, CAST(coalesce(sum(length(CAST(text AS VARCHAR))), 0) AS BIGINT) AS sum_length FROM documents
+        UNION ALL SELECT 'lang' AS column, count(*) AS n_rows, count(*) - count(lang) AS n_null,
+               count(*) FILTER (WHERE CAST(lang AS VARCHAR) = '') AS n_empty, CAST(min(length(CAST(lang AS VARCHAR))) AS BIGINT) AS min_length,
+               CAST(max(length(CAST(lang AS VARCHAR))) AS BIGINT) AS max_length, CAST(coalesce(sum(length(CAST(lang AS VARCHAR))), 0) AS BIGINT) AS sum_length FROM documents
+        UNION ALL SELECT 'source' AS column, count(*) AS n_rows, count(*) - count(source) AS n_null,
+               count(*) FILTER (WHERE CAST(source AS VARCHAR) = '') AS n_empty, CAST(min(length(CAST(source AS VARCHAR))) AS BIGINT) AS min_length,
+               CAST(max(length(CAST(source AS VARCHAR))) AS BIGINT) AS max_length, CAST(coalesce(sum(length(CAST(source AS VARCHAR))), 0) AS BIGINT) AS sum_length FROM documents
+        UNION ALL SELECT 'n_chars' AS column, count(*) AS n_rows, count(*) - count(n_chars) AS n_null,
+               count(*) FILTER (WHERE CAST(n_chars AS VARCHAR) = '') AS n_empty, CAST(min(length(CAST(n_chars AS VARCHAR))) AS BIGINT) AS min_length,
+               CAST(max(length(CAST(n_chars AS VARCHAR))) AS BIGINT) AS max_length, CAST(coalesce(sum(length(CAST(n_chars AS VARCHAR))), 0) AS BIGINT) AS sum_length FROM documents""",
     "hash_answer": f"WITH {SOLUTIONS} SELECT o_orderkey, answer FROM solutions",
     "xml_answer": f"""WITH {COMPLETIONS}
         SELECT gen_id, {EXTRACTED} AS extracted FROM completions""",

@@ -22,6 +22,7 @@ from promptmill.sources import tables
 from promptmill.sources.images import bare_path
 from promptmill.sources.department_csv import DEPARTMENTS, attach_department
 from promptmill.sinks import writers
+from promptmill.operators import profile
 from promptmill.streaming import exactly_once, group_state, streams, windows
 from promptmill.workspace import fresh_dir, materialize, prepare_session, touch
 
@@ -200,6 +201,17 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.table_profile(table(spark, sf_dir, "pages"))
 
 
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact counts and lengths of every column of the documents, from the one-pass profile."""
+    return profile.column_profile(table(spark, sf_dir, "documents")).select(*profile.EXACT)
+
+
+def column_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile's estimates: distinct values and length quantiles of every column of the documents."""
+    found = profile.column_profile(table(spark, sf_dir, "documents"))
+    return found.select("column", "distinct_estimate", "median_length", "p90_length", "mean_length")
+
+
 # --- reasoning --------------------------------------------------------------
 
 
@@ -799,7 +811,7 @@ QUERIES = {
         select_text_field, response_text, map_batched, preview_first,
         clean_qa, clean_qa_compatible, reject_reasons, reject_report, kept_count,
         observed_count, department_rejects,
-        alias_columns, union_sources, department_names, table_profile,
+        alias_columns, union_sources, department_names, table_profile, column_profile, column_sketches,
         hash_answer, xml_answer, xml_cot, chat_prompt, chat_text, chat_exchange, attach_gold,
         reward_correctness, reward_integer, reward_strict_format, reward_soft_format,
         reward_xml_count, reward_total, reward_weighted, reward_python, reward_means,
