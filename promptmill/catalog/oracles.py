@@ -317,6 +317,9 @@ ORACLES = {
         UNION ALL SELECT 'n_chars' AS column, count(*) AS n_rows, count(*) - count(n_chars) AS n_null,
                count(*) FILTER (WHERE CAST(n_chars AS VARCHAR) = '') AS n_empty, CAST(min(length(CAST(n_chars AS VARCHAR))) AS BIGINT) AS min_length,
                CAST(max(length(CAST(n_chars AS VARCHAR))) AS BIGINT) AS max_length, CAST(coalesce(sum(length(CAST(n_chars AS VARCHAR))), 0) AS BIGINT) AS sum_length FROM documents""",
+    "record_rejects": """SELECT format, doc_id,
+        CASE WHEN doc_id % 50 = 0 THEN 'malformed_record' ELSE 'kept' END AS status
+        FROM documents, (VALUES ('json'), ('csv')) AS formats(format)""",
     "hash_answer": f"WITH {SOLUTIONS} SELECT o_orderkey, answer FROM solutions",
     "xml_answer": f"""WITH {COMPLETIONS}
         SELECT gen_id, {EXTRACTED} AS extracted FROM completions""",

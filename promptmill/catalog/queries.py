@@ -201,6 +201,41 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.table_profile(table(spark, sf_dir, "pages"))
 
 
+def _planted_records(spark: SparkSession, sf_dir: str, format: str) -> tuple[DataFrame, DataFrame]:
+    """Instruction rows of the documents as JSON lines or CSV; every fiftieth record is broken on purpose.
+
+    A broken JSON record is cut short; a broken CSV record has a key that is no number.
+    """
+    docs = table(spark, sf_dir, "documents")
+    planted = F.col("doc_id") % 50 == 0
+    if format == "json":
+        record = F.to_json(F.struct("doc_id", F.col("source").alias("instruction"), F.col("lang").alias("input"), F.col("text").alias("output")))
+        line = F.when(planted, F.concat(F.substring(record, 1, 40), F.lit(' "cut'))).otherwise(record)
+    else:
+        def quoted(column):
+            return F.concat(F.lit('"'), F.regexp_replace(F.coalesce(column, F.lit("")), '"', '""'), F.lit('"'))
+
+        key = F.when(planted, F.concat(F.col("doc_id").cast("string"), F.lit("x"))).otherwise(F.col("doc_id").cast("string"))
+        line = F.concat_ws(",", key, quoted(F.col("source")), quoted(F.col("lang")), quoted(F.regexp_replace("text", "[\\r\\n]", " ")))
+    path = fresh_dir(spark, f"planted-{format}")
+    docs.select(line.alias("value")).write.text(path)
+    return tables.read_checked(spark, path, format, f"doc_id long, {tables.INSTRUCTION_SCHEMA}", header=False)
+
+
+def record_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of JSON-lines and CSV files with planted broken ones: kept, or rejected with its reason."""
+    out = None
+    for format, key in (("json", r'^\{"doc_id":([0-9]+)'), ("csv", "^([0-9]+)")):
+        good, bad = _planted_records(spark, sf_dir, format)
+        kept = good.select(F.lit(format).alias("format"), "doc_id", F.lit("kept").alias("status"))
+        rejected = bad.select(
+            F.lit(format).alias("format"), F.regexp_extract("record", key, 1).cast("bigint").alias("doc_id"), F.col("reject_reason").alias("status")
+        )
+        both = kept.unionByName(rejected)
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact counts and lengths of every column of the documents, from the one-pass profile."""
     return profile.column_profile(table(spark, sf_dir, "documents")).select(*profile.EXACT)
@@ -811,7 +846,7 @@ QUERIES = {
         select_text_field, response_text, map_batched, preview_first,
         clean_qa, clean_qa_compatible, reject_reasons, reject_report, kept_count,
         observed_count, department_rejects,
-        alias_columns, union_sources, department_names, table_profile, column_profile, column_sketches,
+        alias_columns, union_sources, department_names, table_profile, column_profile, column_sketches, record_rejects,
         hash_answer, xml_answer, xml_cot, chat_prompt, chat_text, chat_exchange, attach_gold,
         reward_correctness, reward_integer, reward_strict_format, reward_soft_format,
         reward_xml_count, reward_total, reward_weighted, reward_python, reward_means,

@@ -54,3 +54,33 @@ def read_manifest(
     other column names, or None to take them from the file.
     """
     return _reader(spark, format, schema).load(path)
+
+
+CORRUPT = "_corrupt_record"
+MALFORMED = "malformed_record"
+
+
+def read_checked(
+    spark: SparkSession, path: str, format: str = "json", schema: str = INSTRUCTION_SCHEMA, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of JSON-lines or CSV files that parse, and the broken records as rejects.
+
+    Spark reads in permissive mode and keeps a record it cannot parse (bad JSON,
+    a value of the wrong type) in its corrupt-record column (a CSV line with fewer or more fields is padded
+    or cut by Spark, not rejected). The one scan is written once below the
+    shared folder and split there: good rows with their ``file``, rejects as
+    (file, record, reject_reason).
+    """
+    from promptmill.workspace import materialize
+
+    reader = spark.read.format(format).schema(f"{schema}, {CORRUPT} string")
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if format == "csv":
+        reader = reader.options(header=header, quote='"', escape='"')
+    scanned = reader.load(path).withColumn("file", F.col("_metadata.file_path"))
+    scanned = materialize(scanned, "checked-records")
+    good = scanned.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad = scanned.where(F.col(CORRUPT).isNotNull()).select(
+        "file", F.col(CORRUPT).alias("record"), F.lit(MALFORMED).alias("reject_reason")
+    )
+    return good, bad
