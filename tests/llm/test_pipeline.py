@@ -64,5 +64,5 @@ def test_registered_queries():
     import __spark_entry__ as entry
 
     names = collections.Counter(re.match(r"op(\d+)_|pipeline", n).group() for n in entry.queries() if n.startswith(("op", "pipe")))
-    assert names == collections.Counter([*(f"op{n}_" for n in range(1, 11)), "pipeline"])
+    assert names == collections.Counter([*(f"op{n}_" for n in range(1, 14)), "pipeline"])
     assert set(entry.oracle_sql()) <= set(entry.queries())
