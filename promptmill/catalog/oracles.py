@@ -289,6 +289,14 @@ ORACLES = {
     "department_rejects": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}, {DEPARTMENTS}
         SELECT dept_dir, coalesce(reject_reason, 'kept') AS reason, count(*) AS n_rows
         FROM labelled JOIN departments ON (conv_id + turn) % 6 = number GROUP BY ALL""",
+    "reject_subtotals": f"""WITH {RAW_QA}, {labelled('raw_qa', 1000)}, {DEPARTMENTS},
+        rows AS (SELECT dept_dir, dept_dir || '/part-' || CAST(conv_id % 3 AS VARCHAR) || '.csv' AS file,
+                        coalesce(reject_reason, 'kept') AS reason
+                 FROM labelled JOIN departments ON (conv_id + turn) % 6 = number)
+        SELECT CASE WHEN grouping(dept_dir) = 1 THEN 'total' WHEN grouping(file) = 1 THEN 'dept_dir'
+                    WHEN grouping(reason) = 1 THEN 'file' ELSE 'reason' END AS level,
+               dept_dir, file, reason, count(*) AS n_rows
+        FROM rows GROUP BY ROLLUP (dept_dir, file, reason)""",
     "alias_columns": f"""WITH {USERS} SELECT conv_id, turn,
         CASE WHEN conv_id % 4 < 3 THEN question END AS question_raw,
         CASE conv_id % 4 WHEN 2 THEN CAST(conv_id AS VARCHAR) WHEN 3 THEN NULL ELSE answer END

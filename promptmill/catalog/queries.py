@@ -154,6 +154,14 @@ def department_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.reject_report(labelled, ["dept_dir"])
 
 
+def reject_subtotals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects per department, file and reason with subtotals and a total, in one rollup."""
+    number = F.col("conv_id") + F.col("turn")
+    labelled = _labelled(spark, sf_dir).withColumn("dept_dir", inputs.department_of(number))
+    labelled = labelled.withColumn("file", F.concat("dept_dir", F.lit("/part-"), (F.col("conv_id") % 3).cast("string"), F.lit(".csv")))
+    return cleaning.reject_rollup(labelled, ["dept_dir", "file"])
+
+
 def alias_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Question and answer found by header, which differs from row to row."""
     kind = F.col("conv_id") % 4
@@ -845,7 +853,7 @@ QUERIES = {
         format_instruction, format_qa, format_custom, format_null_cells, inference_prompt,
         select_text_field, response_text, map_batched, preview_first,
         clean_qa, clean_qa_compatible, reject_reasons, reject_report, kept_count,
-        observed_count, department_rejects,
+        observed_count, department_rejects, reject_subtotals,
         alias_columns, union_sources, department_names, table_profile, column_profile, column_sketches, record_rejects,
         hash_answer, xml_answer, xml_cot, chat_prompt, chat_text, chat_exchange, attach_gold,
         reward_correctness, reward_integer, reward_strict_format, reward_soft_format,

@@ -165,6 +165,27 @@ def reject_report(labelled: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return labelled.groupBy(*by, reason).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def reject_rollup(labelled: DataFrame, levels: Sequence[str] = ("dept_dir", "file")) -> DataFrame:
+    """Rows per reason with subtotals per level and a grand total, by one rollup.
+
+    ``level`` names the row: ``reason`` for a count of one reason (kept rows
+    under ``kept``) at the finest level, then the name of the finest level that
+    is still set (a subtotal over all reasons), and ``total``. Rows are combined
+    before the one shuffle that a rollup needs; a null in a level column is a
+    value of its own, told apart from a subtotal by ``level``.
+    """
+    reason = F.coalesce(F.col("reject_reason"), F.lit("kept")).alias("reason")
+    keys = [*levels, "reason"]
+    grouped = labelled.select(*levels, reason).rollup(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.grouping(key).alias(f"__g{i}") for i, key in enumerate(keys)]
+    )
+    level = F.when(F.col(f"__g{len(keys) - 1}") == 0, F.lit("reason"))
+    for i in range(len(levels) - 1, -1, -1):
+        level = level.when(F.col(f"__g{i}") == 0, F.lit(levels[i]))
+    level = level.otherwise(F.lit("total"))
+    return grouped.select(level.alias("level"), *keys, "n_rows")
+
+
 def kept_count(df: DataFrame) -> DataFrame:
     """Number of rows as a one-row table."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
