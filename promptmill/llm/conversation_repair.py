@@ -12,7 +12,6 @@ import hashlib
 import heapq
 import re
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,15 +195,40 @@ def repair_one(rows: list[tuple[str, str]], turns: list) -> dict:
 SCHEMA = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
 
 
-def _repair_group(group: pd.DataFrame) -> pd.DataFrame:
-    alive = group[group["__alive"]]
-    alive = alive.assign(__none=alive["__turn"].isna()).sort_values(
-        ["__none", "__turn", "__role", "__text"], ascending=[False, True, True, True], kind="stable"
-    )
-    turns = [None if pd.isna(t) else int(t) for t in alive["__turn"]]
-    found = repair_one(list(zip(alive["__role"], alive["__text"])), turns)
-    conv = group["__conv"].iloc[0]
-    return pd.DataFrame([{"conv_id": None if pd.isna(conv) else int(conv), **found}])
+FIELDS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def _repair_sorted(batches):
+    """Conversations from rows sorted by (conversation, turn nulls first, role, text), one pass, any batch cuts."""
+    import pyarrow as pa
+
+    schema = pa.schema([("conv_id", pa.int64())] + [(n, pa.int64()) for n in FIELDS[:6]] + [("audit", pa.string()), ("repaired_sha256", pa.string())])
+    out = {"conv_id": [], **{name: [] for name in FIELDS}}
+    empty = object()
+    key, rows, turns = empty, [], []
+
+    def finish():
+        found = repair_one(rows, turns)
+        out["conv_id"].append(key)
+        for name in FIELDS:
+            out[name].append(found[name])
+
+    for batch in batches:
+        columns = batch.to_pydict()
+        for conv, turn, role, text, alive in zip(columns["__conv"], columns["__turn"], columns["__role"], columns["__text"], columns["__alive"]):
+            if conv != key or key is empty:
+                if key is not empty:
+                    finish()
+                key, rows, turns = conv, [], []
+            if alive:
+                rows.append((role, text))
+                turns.append(turn)
+        if len(out["conv_id"]) >= 4096:
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
+            out = {name: [] for name in out}
+    if key is not empty:
+        finish()
+    yield pa.RecordBatch.from_pydict(out, schema=schema)
 
 
 def damage(conversations: DataFrame) -> DataFrame:
@@ -247,11 +271,15 @@ def repair_conversations(conversations: DataFrame) -> DataFrame:
     repeated rows are separate turns. Other columns are ignored; an empty
     table gives an empty result.
 
-    A conversation is one group of one task: its rows are a sequence that the
-    lattice needs whole.
+    A conversation lies in one task: its rows are a sequence that the lattice
+    needs whole. Rows are dealt by conversation and sorted within each task, and
+    one Arrow pass walks the conversations in order.
     """
     ready(conversations.sparkSession)
-    return damage(conversations).groupBy("__conv").applyInPandas(_repair_group, SCHEMA)
+    rows = damage(conversations).repartition("__conv").sortWithinPartitions(
+        F.col("__conv").asc_nulls_first(), F.col("__turn").asc_nulls_first(), "__role", "__text"
+    )
+    return rows.mapInArrow(_repair_sorted, SCHEMA)
 
 
 def repair_report(conversations: DataFrame) -> DataFrame:
