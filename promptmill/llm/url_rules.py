@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from promptmill.workspace import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LOWER = str.maketrans(UPPER, LOWER)
 #: The rule index is broadcast up to so many rules; beyond it Spark joins it by token.
 MAX_BROADCAST_RULES = 50_000
 HOST = r"(?s)^.*?://([^/?#]*)"
@@ -24,15 +25,22 @@ class UrlRule:
 
     ``kind`` pattern: ``text`` may stand anywhere in a URL; ``*`` is any text,
     ``^`` a separator or the end, ``||`` at the start any scheme and subdomain.
+    Hosts and patterns are compared with A-Z in lower case, a rule's path as
+    written (paths are case-sensitive).
     """
 
     verdict: str
     text: str
     kind: str = "host"
 
+    @property
+    def low(self) -> str:
+        """The rule with A-Z in lower case, as URLs are compared for hosts, tokens and patterns."""
+        return self.text.translate(_LOWER)
+
     @property
     def host(self) -> str | None:
-        return self.text.split("/", 1)[0] if self.kind == "host" else None
+        return self.low.split("/", 1)[0] if self.kind == "host" else None
 
     @property
     def path(self) -> str | None:
@@ -43,7 +51,7 @@ class UrlRule:
         """The pattern as a regular expression for URLs with A-Z in lower case."""
         if self.kind == "host":
             return None
-        text, start = self.text, ""
+        text, start = self.low, ""
         if text.startswith("||"):
             text, start = text[2:], r"^[^:]*://(?:[^/?#]*\.)?"
         parts = {"*": ".*", "^": "(?:[^a-z0-9_.%-]|$)"}
@@ -51,13 +59,12 @@ class UrlRule:
 
     @property
     def tokens(self) -> list[str]:
-        """Runs of a-z and 0-9 that are whole tokens of every URL the rule can fit."""
+        """Runs of a-z and 0-9 that are whole tokens of every URL the rule can fit (URLs in lower case)."""
+        low = self.low
         if self.kind == "host":
             # a path prefix may end inside a token
-            return re.findall(r"[a-z0-9]+(?![a-z0-9]*$)", self.text) if self.text[-1:] != "/" else re.findall(
-                r"[a-z0-9]+", self.text
-            )
-        text = self.text.replace("||", "^")
+            return re.findall(r"[a-z0-9]+(?![a-z0-9]*$)", low) if low[-1:] != "/" else re.findall(r"[a-z0-9]+", low)
+        text = low.replace("||", "^")
         return re.findall(r"(?<![a-z0-9*])(?<=[^a-z0-9*])[a-z0-9]+(?=[^a-z0-9*])", text)
 
 
@@ -131,7 +138,7 @@ def judge_urls(
     and only those are tried, regular expressions last. What fits is written to
     the shared folder and joined back by URL, where Spark can split a hot URL.
     """
-    urls = pages.select(F.col(url).alias("__url")).where(F.col("__url").isNotNull()).distinct()
+    urls = pages.select(F.col(f"`{url.replace('`', '``')}`").alias("__url")).where(F.col("__url").isNotNull()).distinct()
     index = rule_index(urls, rules, "__url")
     if len(rules) <= MAX_BROADCAST_RULES:
         index = F.broadcast(index)
@@ -149,14 +156,20 @@ def judge_urls(
         F.min(F.when(F.col("kind") == "pattern", F.col("rule_verdict"))).alias("__pattern"),
     )
     decided = materialize(decided, "url-verdicts")
-    others = [name for name in pages.columns if name not in ("host", "path", "rule", "verdict")]
-    joined = pages.withColumn("__at", F.col(url)).join(decided, F.col("__at") == F.col("__url"), "left")
+    # Internal names that no column of the pages has, so that any extra column passes through.
+    tag = "__u"
+    while any(name.startswith(tag) for name in pages.columns):
+        tag += "_"
+    decided = decided.select(*[F.col(c).alias(tag + c) for c in ("__url", "__base", "__pattern")])
+    others = [F.col(f"`{name.replace('`', '``')}`") for name in pages.columns if name not in ("host", "path", "rule", "verdict")]
+    at = F.col(f"`{url.replace('`', '``')}`")
+    joined = pages.join(decided, at == F.col(tag + "__url"), "left")
     return joined.select(
         *others,
-        url_host("__at").alias("host"),
-        url_path("__at").alias("path"),
-        F.col("__base.rule").alias("rule"),
-        F.coalesce("__base.rule_verdict", "__pattern", F.lit(default)).alias("verdict"),
+        url_host(at).alias("host"),
+        url_path(at).alias("path"),
+        F.col(tag + "__base.rule").alias("rule"),
+        F.coalesce(F.col(tag + "__base.rule_verdict"), F.col(tag + "__pattern"), F.lit(default)).alias("verdict"),
     )
 
 

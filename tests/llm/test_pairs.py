@@ -279,3 +279,20 @@ def test_components(spark):
     found = components.connected_components(spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.label for r in found.collect()} == label
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rules_with_capitals_and_clashing_columns(spark):
+    rules = (
+        UrlRule("block", "x.com/Foo/"), UrlRule("allow", "Example.COM/"), UrlRule("block", "/Porn/", "pattern"),
+        UrlRule("block", "||Spam.", "pattern"),
+    )
+    rows = [
+        (1, "http://x.com/Foo/a", ("x.com/Foo/", "block")), (2, "http://X.COM/foo/a", (None, "allow")),
+        (3, "http://sub.EXAMPLE.com/z", ("Example.COM/", "allow")), (4, "http://y.org/PORN/1", (None, "block")),
+        (5, "https://www.spam.net/", (None, "block")), (6, "http://y.org/pornography", (None, "allow")),
+    ]
+    pages = spark.createDataFrame([(i, u, "a", "b", "c") for i, u, _ in rows], "page_id long, url string, `__url` string, `__at` string, `a.b` string")
+    found = url_rules.judge_urls(pages, rules)
+    assert found.columns == ["page_id", "url", "__url", "__at", "a.b", "host", "path", "rule", "verdict"]
+    got = {r.page_id: (r.rule, r.verdict, r["__url"], r["a.b"]) for r in found.collect()}
+    assert got == {i: (*want, "a", "c") for i, _, want in rows}
