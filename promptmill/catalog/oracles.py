@@ -392,6 +392,7 @@ ORACLES = {
         row_number() OVER (ORDER BY md5('3407:' || doc_id), doc_id) - 1 AS rank FROM documents)
         WHERE rank < 480""",
     "schedule_epochs": schedule("documents", "2", 4, 16),
+    "schedule_resume": schedule("documents", "2", 4, 16, "WHERE epoch * per_epoch + rank // 16 >= 20"),
     "schedule_steps": schedule(
         "labels", "(240 - 1) // per_epoch", 2, 8,
         "WHERE epoch * per_epoch + rank // 8 < 240",

@@ -427,6 +427,15 @@ def schedule_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.training_schedule(docs, ["doc_id"], options)
 
 
+def schedule_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schedule of ``schedule_epochs`` written in shards of eight steps, read again from step 20 on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    options = schedule.ScheduleOptions(epochs=3, devices=2)
+    path = fresh_dir(spark, "schedule-shards")
+    writers.write_schedule_shards(schedule.training_schedule(docs, ["doc_id"], options), path, 8)
+    return writers.read_from_step(spark, path, 20)
+
+
 def schedule_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A step limit wins over the epochs; it covers several epochs of a small table."""
     rows = table(spark, sf_dir, "labels").select("doc_id")
@@ -859,7 +868,7 @@ QUERIES = {
         reward_correctness, reward_integer, reward_strict_format, reward_soft_format,
         reward_xml_count, reward_total, reward_weighted, reward_python, reward_means,
         group_stats, advantages, reward_messages, best_of_n,
-        shuffle_order, shuffle_sorted, sample_budget, schedule_epochs, schedule_steps,
+        shuffle_order, shuffle_sorted, sample_budget, schedule_epochs, schedule_resume, schedule_steps,
         token_limit, prompt_limit, pack_blocks, packed_text,
         vision_records, vision_pixels, to_rgb, vision_inference, image_exists, image_missing,
         vision_rejects, image_stores, vision_files, vision_file_rejects,
