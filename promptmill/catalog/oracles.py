@@ -302,6 +302,11 @@ ORACLES = {
         CASE conv_id % 4 WHEN 2 THEN CAST(conv_id AS VARCHAR) WHEN 3 THEN NULL ELSE answer END
           AS answer_raw,
         conv_id % 4 < 3 AS answer_known FROM users""",
+    "extra_columns": """SELECT doc_id,
+        CASE WHEN doc_id % 3 = 0 THEN lang END AS lang,
+        CASE WHEN doc_id % 3 = 1 THEN source END AS source,
+        CASE WHEN doc_id % 3 = 1 THEN n_chars END AS n_chars
+        FROM documents WHERE doc_id IS NOT NULL""",
     "union_sources": """
         SELECT 'documents' AS origin, doc_id AS id, text, lang FROM documents
         UNION ALL SELECT 'benchmark', item_id, text, NULL FROM benchmark

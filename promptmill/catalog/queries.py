@@ -197,6 +197,30 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.union_sources(documents, benchmark, pages)
 
 
+def extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files whose headers differ beyond the known columns, united; their extra columns read from a VARIANT."""
+    docs = table(spark, sf_dir, "documents")
+    layouts = {
+        "a": (F.col("doc_id") % 3 == 0, ["doc_id", "text", "lang"]),
+        "b": (F.col("doc_id") % 3 == 1, ["doc_id", "text", "source", "n_chars"]),
+        "c": (F.col("doc_id") % 3 == 2, ["text", "doc_id"]),
+    }
+    root = fresh_dir(spark, "extra-columns")
+    parts = []
+    for name, (rows, columns) in layouts.items():
+        docs.where(rows).select(*columns).withColumn("text", F.regexp_replace("text", "[\\r\\n]", " ")).write.option(
+            "header", True
+        ).csv(f"{root}/{name}")
+        parts.append(spark.read.options(header=True, inferSchema=True).csv(f"{root}/{name}"))
+    united = cleaning.union_with_extras(parts, ["doc_id", "text"])
+    return united.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.variant_get("extras", "$.lang", "string").alias("lang"),
+        F.variant_get("extras", "$.source", "string").alias("source"),
+        F.variant_get("extras", "$.n_chars", "long").alias("n_chars"),
+    )
+
+
 def department_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.substring("source", 4, 10).cast("int")
     docs = table(spark, sf_dir, "documents").select(
@@ -863,7 +887,7 @@ QUERIES = {
         select_text_field, response_text, map_batched, preview_first,
         clean_qa, clean_qa_compatible, reject_reasons, reject_report, kept_count,
         observed_count, department_rejects, reject_subtotals,
-        alias_columns, union_sources, department_names, table_profile, column_profile, column_sketches, record_rejects,
+        alias_columns, union_sources, extra_columns, department_names, table_profile, column_profile, column_sketches, record_rejects,
         hash_answer, xml_answer, xml_cot, chat_prompt, chat_text, chat_exchange, attach_gold,
         reward_correctness, reward_integer, reward_strict_format, reward_soft_format,
         reward_xml_count, reward_total, reward_weighted, reward_python, reward_means,

@@ -212,6 +212,30 @@ def union_sources(*sources: DataFrame) -> DataFrame:
     return result
 
 
+def union_with_extras(sources: Sequence[DataFrame], known: Sequence[str], extras: str = "extras") -> DataFrame:
+    """All rows of sources with differing columns: ``known`` ones as columns, all others kept in one VARIANT.
+
+    A known column a source lacks is null. Every other column of a source goes
+    into ``extras`` by its own name and type (an object; empty where a source has
+    none), so extras of any source can be read by name with ``variant_get``. A
+    column of the name ``extras`` is an extra like the others.
+    """
+    result = None
+    for source in sources:
+        present = set(source.columns)
+        others = [name for name in source.columns if name not in known]
+        packed = (
+            F.to_variant_object(F.struct(*[F.col(f"`{name.replace('`', '``')}`") for name in others]))
+            if others else F.parse_json(F.lit("{}"))
+        )
+        frame = source.select(
+            *[F.col(f"`{name}`") if name in present else F.lit(None).cast("string").alias(name) for name in known],
+            packed.alias(extras),
+        )
+        result = frame if result is None else result.unionByName(frame)
+    return result
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """Column list and shape as a one-row table."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
