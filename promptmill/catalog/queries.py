@@ -273,12 +273,6 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.column_profile(table(spark, sf_dir, "documents")).select(*profile.EXACT)
 
 
-def column_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The profile's estimates: distinct values and length quantiles of every column of the documents."""
-    found = profile.column_profile(table(spark, sf_dir, "documents"))
-    return found.select("column", "distinct_estimate", "median_length", "p90_length", "mean_length")
-
-
 # --- reasoning --------------------------------------------------------------
 
 
@@ -887,7 +881,7 @@ QUERIES = {
         select_text_field, response_text, map_batched, preview_first,
         clean_qa, clean_qa_compatible, reject_reasons, reject_report, kept_count,
         observed_count, department_rejects, reject_subtotals,
-        alias_columns, union_sources, extra_columns, department_names, table_profile, column_profile, column_sketches, record_rejects,
+        alias_columns, union_sources, extra_columns, department_names, table_profile, column_profile, record_rejects,
         hash_answer, xml_answer, xml_cot, chat_prompt, chat_text, chat_exchange, attach_gold,
         reward_correctness, reward_integer, reward_strict_format, reward_soft_format,
         reward_xml_count, reward_total, reward_weighted, reward_python, reward_means,
