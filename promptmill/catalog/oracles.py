@@ -480,7 +480,14 @@ ORACLES = {
         SELECT conv_id, turn, reject_reason FROM labelled WHERE reject_reason IS NOT NULL""",
     "stream_format": f"""SELECT doc_id, {instruction_text('source', 'lang', 'text')} AS text
         FROM documents""",
+    "format_twice": f"""SELECT doc_id, {instruction_text('source', 'lang', 'text')} AS text
+        FROM documents""",
     "stream_score": f"{ALL_SCORES} SELECT gen_id, {SCORE_COLUMNS}, reward_total FROM scored",
+    "missing_cells": """SELECT o_orderkey, (price IS NULL OR isnan(price)) AS price_missing, comment IS NULL AS comment_missing
+        FROM (SELECT o_orderkey,
+                     CASE WHEN o_orderkey % 7 = 0 THEN CAST('NaN' AS DOUBLE) WHEN o_orderkey % 11 = 0 THEN NULL
+                          ELSE CAST(o_totalprice AS DOUBLE) END AS price,
+                     CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS comment FROM orders)""",
     "stream_reward_windows": f"""{ALL_SCORES}, long AS (UNPIVOT (SELECT (CAST(gen_id AS BIGINT) // 32 // 10) * 10 AS logging_step,
           {SCORE_COLUMNS}, reward_total FROM scored) ON {SCORE_COLUMNS}, reward_total INTO NAME reward_name VALUE reward)
         SELECT CAST(logging_step AS BIGINT) AS logging_step, reward_name, round(avg(reward), 9) + 0.0 AS mean_reward

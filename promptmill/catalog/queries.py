@@ -761,6 +761,31 @@ def reject_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("conv_id", "turn", "reject_reason")
 
 
+def missing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null and NaN cells of a floating point column, and null ones of a text column (every 7th price NaN, 11th null, 5th priority null)."""
+    orders = table(spark, sf_dir, "orders")
+    price = (
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit(float("nan")))
+        .when(F.col("o_orderkey") % 11 == 0, F.lit(None).cast("double"))
+        .otherwise(F.col("o_totalprice").cast("double"))
+    )
+    comment = F.when(F.col("o_orderkey") % 5 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority"))
+    return orders.select(
+        "o_orderkey",
+        text.is_missing(price, floating=True).alias("price_missing"),
+        text.is_missing(comment).alias("comment_missing"),
+    )
+
+
+def format_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging is idempotent: formatting a formatted table leaves it as it is."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("source").alias("instruction"), F.col("lang").alias("input"), F.col("text").alias("output")
+    )
+    once = instructions.format_instructions(docs)
+    return instructions.format_instructions(once).select("doc_id", "text")
+
+
 def stream_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     arriving = streams.read_arriving(spark, f"{sf_dir}/documents.parquet*", docs.schema).select(
@@ -891,6 +916,6 @@ QUERIES = {
         vision_records, vision_pixels, to_rgb, vision_inference, image_exists, image_missing,
         vision_rejects, image_stores, vision_files, vision_file_rejects,
         decode_csv, file_rejects, training_set_files, prompt_set_files, vision_set_files, reject_files,
-        stream_format, stream_score, stream_advantages, stream_samples, stream_rejects, stream_reward_windows,
+        missing_cells, format_twice, stream_format, stream_score, stream_advantages, stream_samples, stream_rejects, stream_reward_windows,
     )
 }
