@@ -58,6 +58,30 @@ LOOKALIKES = str.maketrans("013457@$!", "oleastasi")
 
 RANK = {word: math.log10(i + 2) for i, word in enumerate(COMMON_WORDS)}
 LONGEST_WORD = max(map(len, COMMON_WORDS))
+#: Words ranked from the documents: so many of the most frequent (by number of documents) are tried as words.
+RANKED_WORDS = 50_000
+#: The ranked words are broadcast; a list of more bytes than this is refused.
+MAX_RANKED_BYTES = 8 << 20
+#: Letters of a word that is ranked: runs of 3 to 24 ASCII letters, in lower case.
+RANKED_WORD = r"[a-z]{3,24}"
+
+
+def ranked_words(docs: DataFrame, text: str = "text", top: int = RANKED_WORDS) -> dict[str, float]:
+    """log10 guesses of the ``top`` words that most documents hold, the fixed list first, from one aggregate over all texts.
+
+    Words are counted once a document (combined before the shuffle), and only
+    the ``top`` rows reach the driver; their size is checked.
+    """
+    words = docs.select(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(RANKED_WORD), 0)).alias("w"))
+    counts = words.select(F.explode("w").alias("word")).groupBy("word").count()
+    best = counts.orderBy(F.col("count").desc(), "word").limit(top).select("word").collect()
+    found = [row.word for row in best]
+    if sum(len(word) + 50 for word in found) > MAX_RANKED_BYTES:
+        raise ValueError(f"{len(found)} ranked words take more than {MAX_RANKED_BYTES} bytes")
+    ranks = dict(RANK)
+    for word in found:
+        ranks.setdefault(word, math.log10(len(ranks) + 2))
+    return ranks
 NEXT = {pair for walk in WALKS for line in (walk, walk[::-1]) for pair in zip(line, line[1:])}
 WALK_COST = 2.0  # and the logarithm of its length
 YEAR_COST, DAY_COST = math.log10(200), math.log10(200 * 365)
@@ -128,7 +152,9 @@ class _WalkStarts:
         return held[-1][1] + math.log10(stop - held[-1][0])
 
 
-def guess_cost(value: str, longest_period: int = 8, char_cost: Callable[[str], float] = _char_cost) -> float:
+def guess_cost(
+    value: str, longest_period: int = 8, char_cost: Callable[[str], float] = _char_cost, ranks: dict[str, float] | None = None
+) -> float:
     """The least power of ten of guesses by which words, dates, repeats, keyboard walks and single characters
     put together the value; ``char_cost`` gives what a single one takes.
 
@@ -138,15 +164,17 @@ def guess_cost(value: str, longest_period: int = 8, char_cost: Callable[[str], f
     length, so a value may be as long as its text.
     """
     n = len(value)
+    rank = RANK if ranks is None else ranks
+    longest_word = LONGEST_WORD if ranks is None else max(LONGEST_WORD, 24)
     lower, plain = value.lower(), value.lower().translate(LOOKALIKES)
     if len(lower) != n:
         lower = plain = value
     ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # at a span's end: its start and cost
     for start in range(n):
-        for stop in range(start + 2, min(n, start + LONGEST_WORD) + 1):
-            cost = RANK.get(lower[start:stop])
+        for stop in range(start + 2, min(n, start + longest_word) + 1):
+            cost = rank.get(lower[start:stop])
             if cost is None:
-                cost = RANK.get(plain[start:stop])
+                cost = rank.get(plain[start:stop])
                 cost = None if cost is None else cost + 0.6
             if cost is not None:
                 shape = value[start:stop]
@@ -190,7 +218,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
-def guessed_spans(text: str, least: float = LEAST_LOG10_GUESSES) -> list[tuple[int, int, str]]:
+def guessed_spans(text: str, least: float = LEAST_LOG10_GUESSES, ranks: dict[str, float] | None = None) -> list[tuple[int, int, str]]:
     """(start, kind number, end) of values in credential contexts that take at least ``10**least`` guesses."""
     lower = text.lower()
     if not any(word in lower for word in CONTEXT_WORDS):
@@ -203,7 +231,7 @@ def guessed_spans(text: str, least: float = LEAST_LOG10_GUESSES) -> list[tuple[i
             part = VALUE.match(text, match.end())
             (start, stop), at, bare = part.span(part.lastindex), part.end(), part.lastindex == 5
         value = text[start:stop]
-        if len(value) >= SHORTEST_VALUE and guess_cost(value, char_cost=mixed_char_cost(value)) >= least:
+        if len(value) >= SHORTEST_VALUE and guess_cost(value, char_cost=mixed_char_cost(value), ranks=ranks) >= least:
             found.append((start, 3, stop))
         elif bare:
             at = max(start, stop - LONGEST_NAME)
@@ -220,7 +248,9 @@ COLUMNS = {
 }
 
 
-def find_secrets(docs: DataFrame, text: str = "text", least: float = LEAST_LOG10_GUESSES) -> DataFrame:
+def find_secrets(
+    docs: DataFrame, text: str = "text", least: float = LEAST_LOG10_GUESSES, ranks: dict[str, float] | None = None
+) -> DataFrame:
     """``docs`` with the spans of secrets in every whole text, as ``kind:start:end`` in code points, end exclusive.
 
     Kinds are those of the fixed patterns (``assign``, ``access``, ``hex``) and
@@ -229,17 +259,20 @@ def find_secrets(docs: DataFrame, text: str = "text", least: float = LEAST_LOG10
     or more. ``base_spans`` has the first three kinds, ``spans`` all, by start and
     then kind. A null or empty text has none. Rows are independent: repeated rows
     get the same result, other columns stay, columns named like the results are
-    replaced. Nothing is shuffled.
+    replaced. Nothing is shuffled. ``ranks`` (word to log10 guesses, as
+    ``ranked_words`` gives them) replaces the fixed word list and is broadcast.
     """
-    ready(docs.sparkSession)
+    spark = ready(docs.sparkSession)
+    held = spark.sparkContext.broadcast(ranks) if ranks is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_state()
+        words = held.value if held is not None else None
         for batch in slices(batches, text):
             out: dict[str, list] = {name: [] for name in COLUMNS}
             for value in strings(batch, text):
                 base = base_spans(value or "")
-                added = guessed_spans(value or "", least)
+                added = guessed_spans(value or "", least, words)
                 for kind in range(3):
                     out[f"n_{KINDS[kind]}"].append(sum(span[1] == kind for span in base))
                 out["n_guess"].append(len(added))
@@ -254,6 +287,7 @@ def find_secrets(docs: DataFrame, text: str = "text", least: float = LEAST_LOG10
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
-    return find_secrets(docs.select("doc_id", "text")).select(
+    rows = docs.select("doc_id", "text")
+    return find_secrets(rows, ranks=ranked_words(rows)).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_guess"
     )
