@@ -26,14 +26,31 @@ def worker_state(key, make):
     Workers serve many stages, so what each operator remembers must not add up.
     """
     if key not in _STATE:
-        _STATE.clear()
+        forget_state()
         _STATE[key] = make()
     return _STATE[key]
 
 
 def forget_state() -> None:
-    """Drop what an earlier operator's tasks left in this worker."""
+    """Drop what an earlier operator's tasks left in this worker, and give the freed memory back to the system."""
+    if not _STATE:
+        return
     _STATE.clear()
+    import gc
+
+    gc.collect()
+    _trim()
+
+
+def _trim() -> None:
+    """Return free heap pages to the system where the C library can (glibc); elsewhere nothing happens."""
+    import ctypes
+    import ctypes.util
+
+    try:
+        ctypes.CDLL(ctypes.util.find_library("c") or "libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
 
 
 def tokenizer_path(name: str) -> str:

@@ -18,9 +18,11 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2  # fixed values of the model file
 #: What an unknown character costs beyond the rarest piece in a unigram model; fixed value of the library.
 UNKNOWN_PENALTY = 10.0
-#: Words in each of two generations, and pairs of pieces, that a worker remembers.
-REMEMBERED = 300_000
-REMEMBERED_PAIRS = 600_000
+#: Bytes of remembered words in each of two generations (ids, text and some 120 bytes of Python a word),
+#: and pairs of pieces, that a worker holds.
+REMEMBERED_BYTES = 24 << 20
+REMEMBERED_PAIRS = 200_000
+WORD_OVERHEAD = 120
 #: Characters between two looks for a boundary on which all paths agree.
 LOOK_EVERY = 32
 SINGLE = (1,)
@@ -260,6 +262,7 @@ class PieceCodec:
         self.model = PieceModel(model)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.young_bytes = 0
         self.breaks_line = "\n" not in self.model.alphabet
 
     def _search(self, text: str) -> bytes:
@@ -289,11 +292,16 @@ class PieceCodec:
             else:
                 found = self._search(SPACE + word)
         if len(word) <= 40:
-            if len(self.young) > REMEMBERED:
-                self.old, self.young = self.young, {}
-            self.young[word] = found
+            self._remember(word, found)
         return found
 
+    def _remember(self, key: str, found: bytes) -> None:
+        """Keep a word's ids; when a generation holds REMEMBERED_BYTES, it becomes the old one and the older goes."""
+        if self.young_bytes > REMEMBERED_BYTES:
+            self.old, self.young, self.young_bytes = self.young, {}, 0
+        self.young[key] = found
+        self.young_bytes += len(key) + len(found) + WORD_OVERHEAD
+
     def _bare(self, text: str) -> bytes:
         """Ids of a stretch without a space ahead, remembered with one behind instead."""
         key = text + SPACE
@@ -301,7 +309,7 @@ class PieceCodec:
         if found is None:
             found = self._search(text) if text else b""
             if len(text) <= 40:
-                self.young[key] = found
+                self._remember(key, found)
         return found
 
     def encode(self, text: str) -> np.ndarray:
