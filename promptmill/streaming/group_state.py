@@ -131,10 +131,12 @@ class GroupAdvantages(StatefulProcessor):
 
 
 def use_state_store(spark: SparkSession) -> None:
-    """The state store that keyed state with lists and timers needs; set only where none is set."""
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("HDFSBackedStateStoreProvider") or not spark.conf.get(
-        "spark.sql.streaming.stateStore.providerClass", ""
-    ):
+    """The RocksDB state store, which keyed state with lists and timers needs, where none or the HDFS-backed one is set.
+
+    Another provider a user chose stays.
+    """
+    chosen = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""
+    if not chosen or chosen.endswith("HDFSBackedStateStoreProvider"):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
 
 
