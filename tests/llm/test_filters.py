@@ -391,18 +391,3 @@ def test_sample_bound(spark):
     docs = language_docs(spark, 400)
     model = langid.train_language_model(docs, max_docs=100)
     assert len(model.languages) == 3
-
-
-def test_words_ranked_from_the_documents(spark):
-    from promptmill.llm import secrets
-
-    rows = [(i, f"the flumbergast report number {i} about flumbergast things") for i in range(60)]
-    rows += [(100, "token: flumbergastic"), (101, "token: flumbergast"), (102, 'password = "xK9#mQ2!vLp"'), (103, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    ranks = secrets.ranked_words(docs)
-    assert ranks["flumbergast"] < secrets.math.log10(len(secrets.RANK) + 10) and ranks["password"] == secrets.RANK["password"]
-    plain = {r.doc_id: r.n_guess for r in secrets.find_secrets(docs).collect()}
-    ranked = {r.doc_id: r.n_guess for r in secrets.find_secrets(docs, ranks=ranks).collect()}
-    assert plain[101] == 1 and ranked[101] == 0  # a word the documents use often is no secret
-    assert ranked[102] == 1 and ranked[103] == 0
-    assert secrets.secret_report(docs.limit(0)).count() == 0
