@@ -11,10 +11,12 @@ state store in pieces when it is emitted.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -170,6 +172,8 @@ def stream_advantages(
     behind the latest arrival) are not taken.
     """
     use_state_store(scored.sparkSession)
+    # The processor is unpickled by a Python process beside the driver that does not see the shipped package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     arrived = F.col(event_time) if event_time else F.current_timestamp()
     rows = scored.select(
         scored[group].cast("bigint").alias("prompt_id"), "gen_id", "reward_total", "n_generations", arrived.alias("arrived")
