@@ -9,6 +9,8 @@ from promptmill.functions.templates import format_xml_cot
 from promptmill.sources.department_csv import DEPARTMENTS
 
 EOS = "<|endoftext|>"
+#: Picture files that one task writes.
+PICTURES_A_TASK = 5_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -193,6 +195,8 @@ def write_pictures(spark: SparkSession, sf_dir: str, folder: str) -> None:
             yield batch
 
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    # the table is small where its pictures are many: without this one task writes them all
+    labels = labels.repartition(max(spark.sparkContext.defaultParallelism, labels.count() // PICTURES_A_TASK), "doc_id")
     labels.mapInArrow(write, labels.schema).write.format("noop").mode("overwrite").save()
 
 

@@ -82,21 +82,22 @@ def require_decodable_image(df: DataFrame) -> DataFrame:
 
 
 def label_manifest(
-    manifest: DataFrame, files: DataFrame, images: DataFrame | None = None
+    manifest: DataFrame, files: DataFrame | None = None, images: DataFrame | None = None
 ) -> DataFrame:
     """Add ``reject_reason``: path, then file, then texts, then decoding.
 
     ``files`` and ``images`` must hold a path once. Rows without a path take no
     part in the join, so many of them cannot pile up under one join key. Of the
-    images only the mode is read.
+    images only the mode is read. Without ``files`` the images, which have a row
+    for every file, are the listing too.
     """
     pathless = F.col("image_path").isNull() | (F.col("image_path") == "")
-    known = _listed(files).withColumn("listed", F.lit(True))
     if images is not None:
-        modes = images.select(F.col("path").alias("image_path"), F.col("image.mode").alias("mode"))
-        known = known.join(modes, "image_path", "left")
-    else:
-        known = known.withColumn("mode", F.lit(None).cast("int"))
+        known = images.select(F.col("path").alias("image_path"), F.col("image.mode").alias("mode"))
+        known = known.withColumn("listed", F.lit(True)) if files is None else known
+    if files is not None:
+        listed = _listed(files).withColumn("listed", F.lit(True))
+        known = listed.withColumn("mode", F.lit(None).cast("int")) if images is None else listed.join(known, "image_path", "left")
     reason = (
         F.when(F.col("listed").isNull(), F.lit(MISSING_FILE))
         .when(F.col("prompt_text").isNull() | F.col("response_text").isNull(), F.lit(MISSING_TEXT))

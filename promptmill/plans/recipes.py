@@ -20,7 +20,7 @@ from promptmill.sources.department_csv import (
     attach_department,
     read_department_rows,
 )
-from promptmill.sources.images import list_files, read_images
+from promptmill.sources.images import read_images
 from promptmill.sources.tables import read_instructions, read_manifest, read_qa_subset
 
 
@@ -135,13 +135,14 @@ def prepare_vision(
 
     The records name the picture files, which keeps the written set small, or
     carry the pixels. ``records`` and ``labelled`` each decode the pictures to
-    see that they can be.
+    see that they can be. The folder is listed once: the picture reader gives a row
+    for every file, so its paths are the listing.
     """
     manifest = vision.normalize_manifest(
         read_manifest(spark, manifest_path, format, schema), options
     )
-    files, images = list_files(spark, image_dir), read_images(spark, image_dir)
+    images = read_images(spark, image_dir)
     return VisionResult(
-        vision.vision_records(manifest, files, images, with_pixels=with_pixels),
-        vision.label_manifest(manifest, files, images),
+        vision.vision_records(manifest, images=images, with_pixels=with_pixels),
+        vision.label_manifest(manifest, images=images),
     )

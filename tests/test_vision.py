@@ -130,3 +130,12 @@ def test_one_key_in_two_buckets(spark):
     assert [r.reject_reason for r in labelled] == [None]
     attached = vision.attach_image(manifest, images).collect()
     assert [r.image.origin for r in attached] == ["s3a://b/x.png"]
+
+
+def test_recipe_lists_the_folder_once(spark, folder, tmp_path):
+    """The pictures themselves are the listing; a second one doubled the files' cost."""
+    (tmp_path / "manifest.csv").write_text("id,image,prompt,response\n1,rgb.png,p,r\n2,absent.png,p,r\n3,rgb.png,,r\n", encoding="utf-8")
+    result = prepare_vision(spark, str(tmp_path / "manifest.csv"), str(folder), vision.VisionOptions(base_dir=str(folder)))
+    assert {r.id: r.reject_reason for r in result.labelled.collect()} == {"1": None, "2": vision.MISSING_FILE, "3": vision.MISSING_TEXT}
+    plan = result.labelled._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3 and "binaryFile" not in plan  # manifest with and without paths, and the pictures
