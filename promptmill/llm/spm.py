@@ -20,11 +20,15 @@ UNIGRAM, BPE = 1, 2  # fixed values of the model file
 UNKNOWN_PENALTY = 10.0
 #: Bytes of remembered words in each of two generations (ids, text and some 120 bytes of Python a word),
 #: and pairs of pieces, that a worker holds.
-REMEMBERED_BYTES = 24 << 20
+REMEMBERED_BYTES = 12 << 20
 REMEMBERED_PAIRS = 200_000
+#: Steps from one place in a text to the next, by the piece beginnings there, that a worker holds.
+REMEMBERED_PLACES = 200_000
 WORD_OVERHEAD = 120
 #: Characters between two looks for a boundary on which all paths agree.
 LOOK_EVERY = 32
+#: Bytes of text whose ids, decoded text and result batch a worker holds at once.
+PART_BYTES = 1 << 20
 SINGLE = (1,)
 
 
@@ -87,6 +91,9 @@ class PieceModel:
         #: Whether a word that follows other text always starts a piece.
         self.words_apart = not any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
         self.pairs: dict[int, bool] = {}
+        self.root: tuple = ({}, (), "")
+        self.known: dict[str, tuple] = {}
+        self.places = 0
         #: Stops that no piece joins to a letter before them: a word may be cut ahead of them.
         self.stops = "".join(c for c in ".,;:!?|" if not any(re.search(r"[^\W\d_]" + re.escape(c), p) for p in self.ids))
 
@@ -113,16 +120,54 @@ class PieceModel:
                 ends.setdefault(piece[-3:], {2} if piece[-2:] in self.usable else set()).add(len(piece))
         return {end: (*sorted(found, reverse=True), 1) for end, found in ends.items()}
 
+    @cached_property
+    def beginnings(self) -> set[str]:
+        """All beginnings of usable pieces."""
+        return {piece[:n] for piece in self.usable for n in range(1, len(piece) + 1)}
+
+    def place(self, before: tuple, char: str) -> tuple:
+        """BPE: the place behind one more character, remembered with the place before it.
+
+        A place is (places by the next character, pieces that end here as (length, code), longest first,
+        the longest beginning of a piece that ends here). A character no piece has leads to the same kind of
+        place from everywhere and is not remembered.
+        """
+        if self.places > REMEMBERED_PLACES:
+            self.places = 0
+            self.root[0].clear()
+            for held in self.known.values():
+                held[0].clear()
+            self.known.clear()
+        held = before[2] + char
+        while held and held not in self.beginnings:
+            held = held[1:]
+        if not held:
+            return {}, ((1, len(self.pieces) + ord(char)),), ""
+        found = self.known.get(held)
+        if found is None:
+            ends = [(len(held) - at, self.usable.get(held[at:])) for at in range(len(held))]
+            if ends[-1][1] is None:
+                ends[-1] = (1, len(self.pieces) + ord(char))
+            found = self.known[held] = ({}, tuple(end for end in ends if end[1] is not None), held)
+        before[0][char] = found
+        self.places += 1
+        return found
+
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by the BPE rule itself: the best pair first, the leftmost of equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            scores = [self.scores.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
+        parts, get = list(text), self.scores.get
+        scores = [get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
+        while scores:
             best = max(scores)
             if best == -np.inf:
                 break
             at = scores.index(best)
             parts[at: at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = get(parts[at - 1] + parts[at], -np.inf)
+            if at < len(scores):
+                scores[at] = get(parts[at] + parts[at + 1], -np.inf)
         return parts
 
     def follows(self, key: int, left: str, right: str) -> bool:
@@ -159,6 +204,7 @@ class StreamingViterbi:
     def __init__(self, model: PieceModel):
         self.model = model
         self.text = ""  # what is not final yet
+        self.place = model.root  # BPE: which pieces end where the text ends
         self.starts = [0]  # for each boundary in the text, where its last piece starts
         self.codes = [0]  # BPE: and which piece that is; unigram: the sum of scores
 
@@ -180,30 +226,38 @@ class StreamingViterbi:
         return self._path(len(self.text))
 
     def _take_bpe(self) -> None:
-        model, text, starts, codes = self.model, self.text, self.starts, self.codes
-        usable, lengths, pairs, unknown = model.usable, model.lengths, model.pairs, len(model.pieces)
-        for end in range(len(starts), len(text) + 1):
-            ending = text[end - 3: end] if end > 2 else text[:end]
-            for length in lengths.get(ending) or lengths.get(ending[-2:], SINGLE):
+        model, text, starts, codes, place = self.model, self.text, self.starts, self.codes, self.place
+        pairs, add_start, add_code = model.pairs, starts.append, codes.append
+        end = len(starts)
+        for char in text[end - 1:]:
+            place = place[0].get(char) or model.place(place, char)
+            for length, code in place[1]:
                 start = end - length
-                if start < 0:
-                    continue
-                piece = text[start:end]
-                code = usable.get(piece)
-                if code is None:
-                    if length > 1:
-                        continue
-                    code = unknown + ord(piece)
-                if start:
+                if start > 0:
                     key = codes[start] << 22 | code
                     apart = pairs.get(key)
                     if apart is None:
-                        apart = model.follows(key, text[starts[start]: start], piece)
+                        apart = model.follows(key, text[starts[start]: start], text[start:end])
                     if not apart:
                         continue
-                starts.append(start)
-                codes.append(code)
+                elif start < 0:
+                    continue
+                add_start(start)
+                add_code(code)
                 break
+            end += 1
+        self.place = place
+
+    def codes_of(self, text: str) -> list[int]:
+        """BPE: codes of a short whole text in order: ids, and characters without a piece beyond them."""
+        self.text = text
+        self._take_bpe()
+        out, at, starts, codes = [], len(text), self.starts, self.codes
+        while at:
+            out.append(codes[at])
+            at = starts[at]
+        out.reverse()
+        return out
 
     def _take_unigram(self) -> None:
         model, text, starts, scores = self.model, self.text, self.starts, self.codes
@@ -268,6 +322,12 @@ class PieceCodec:
     def _search(self, text: str) -> bytes:
         viterbi = StreamingViterbi(self.model)
         ids: list[int] = []
+        if self.model.kind == BPE and len(text) <= LOOK_EVERY:
+            ids = viterbi.codes_of(text)
+            unknown = len(self.model.pieces)
+            if ids and max(ids) >= unknown:
+                ids = [i for code in ids for i in ([code] if code < unknown else self.model.piece_ids(chr(code - unknown)))]
+            return array("i", ids).tobytes()
         for at in range(0, len(text), 1 << 14):
             for piece in viterbi.feed(text[at: at + (1 << 14)]):
                 ids += self.model.piece_ids(piece)
@@ -379,7 +439,7 @@ def encode_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(held)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, PART_BYTES):
             ids = [codec.encode(value or "") for value in strings(batch, text)]
             ends = np.concatenate([[0], np.cumsum([len(one) for one in ids])]).astype(np.int32)
             values = np.concatenate(ids) if ids else np.zeros(0, np.int32)

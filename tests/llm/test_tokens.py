@@ -198,3 +198,31 @@ def test_encode_and_decode_tables(odd, none):
     both = spm.encode_pieces(odd, PIECES, decoded="a b")
     assert both.columns == [*odd.columns, "ids"] and all(r["a b"] == (r.text or "") for r in both.collect())
     assert all(r.round_trip for r in spm.piece_report(odd, PIECES).collect())
+
+
+def test_remembered_places_are_bounded_and_change_nothing(library, monkeypatch):
+    """The pieces that end at a place come from remembered steps; dropping them again and again gives the same ids."""
+    monkeypatch.setattr(spm, "REMEMBERED_PLACES", 50)
+    monkeypatch.setattr(spm, "REMEMBERED_PAIRS", 50)
+    small, sp = spm.PieceCodec(RAW), sentencepiece.SentencePieceProcessor(model_proto=RAW)
+    for text in random_texts(300, seed=9, longest=70):
+        assert small.encode(text).tolist() == sp.encode(text), repr(text)
+        assert small.model.places <= 51 and len(small.model.known) <= 51
+
+
+def test_ids_are_made_in_small_parts(spark, monkeypatch):
+    """A worker holds ids, decoded texts and result batch of about a megabyte of text, not of eight."""
+    sizes = []
+    plain = spm.slices
+    monkeypatch.setattr(spm, "slices", lambda batches, column, size=8 << 20: sizes.append(size) or plain(batches, column, size))
+
+    class Frame:
+        sparkSession, dtypes = spark, [("text", "string")]
+
+        def mapInArrow(self, run, schema):
+            import pyarrow as pa
+
+            return list(run([pa.RecordBatch.from_pydict({"text": ["word " * 100_000] * 5})]))
+
+    batches = spm.encode_pieces(Frame(), PIECES, decoded="decoded")
+    assert sizes == [spm.PART_BYTES] and [b.num_rows for b in batches] == [2, 2, 1]
