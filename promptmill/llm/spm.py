@@ -25,6 +25,12 @@ REMEMBERED_PAIRS = 200_000
 #: Steps from one place in a text to the next, by the piece beginnings there, that a worker holds.
 REMEMBERED_PLACES = 200_000
 WORD_OVERHEAD = 120
+#: A worker's search of many words looks into a table of 2**20 pairs of pieces (8 MB) and one of a quarter as many steps.
+TABLE_BITS = 20
+#: Words that are searched side by side; two numbers are held for each place in each of them.
+SIDE_BY_SIDE = 8192
+#: Longest word that is remembered.
+LONGEST_REMEMBERED = 40
 #: Characters between two looks for a boundary on which all paths agree.
 LOOK_EVERY = 32
 #: Bytes of text whose ids, decoded text and result batch a worker holds at once.
@@ -248,17 +254,6 @@ class StreamingViterbi:
             end += 1
         self.place = place
 
-    def codes_of(self, text: str) -> list[int]:
-        """BPE: codes of a short whole text in order: ids, and characters without a piece beyond them."""
-        self.text = text
-        self._take_bpe()
-        out, at, starts, codes = [], len(text), self.starts, self.codes
-        while at:
-            out.append(codes[at])
-            at = starts[at]
-        out.reverse()
-        return out
-
     def _take_unigram(self) -> None:
         model, text, starts, scores = self.model, self.text, self.starts, self.codes
         for end in range(len(starts), len(text) + 1):
@@ -304,6 +299,154 @@ class StreamingViterbi:
         return pieces[::-1]
 
 
+class KnownValues:
+    """Small numbers (below 2**20) by number (below 2**43) in a table of fixed size; a number may push out another.
+
+    Lookups take whole arrays. A number stands in one of four neighbouring slots.
+    """
+
+    def __init__(self, bits: int):
+        self.held = np.full(1 << bits, -1, np.int64)  # number << 20 | value
+        self.shift = np.uint64(64 - bits)
+
+    def get(self, keys: np.ndarray, make) -> np.ndarray:
+        """The values of ``keys``; ``make`` gives one that the table does not hold."""
+        mixed = (keys ^ keys >> 17).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        slots = (mixed >> self.shift).view(np.int64)
+        held = self.held[slots]
+        lacks = np.flatnonzero(held >> 20 != keys)
+        for near in (1, 2, 3):
+            if not len(lacks):
+                return held & 0xFFFFF
+            held[lacks] = again = self.held[slots[lacks] ^ near]
+            lacks = lacks[again >> 20 != keys[lacks]]
+        if len(lacks):
+            fresh, at, where = np.unique(keys[lacks], return_index=True, return_inverse=True)
+            entries = [key << 20 | make(key) for key in fresh.tolist()]
+            held[lacks] = np.array(entries, np.int64)[where]
+            for entry, slot in zip(entries, slots[lacks[at]].tolist()):
+                near = next((near for near in range(4) if self.held[slot ^ near] < 0), entry >> 20 & 3)
+                self.held[slot ^ near] = entry
+        return held & 0xFFFFF
+
+
+class WordSearch:
+    """BPE: the search of ``StreamingViterbi`` over many short whole texts side by side, a character at a time.
+
+    Each text has its own place and its own last piece at every boundary; a step
+    handles one character of all texts that are long enough. Steps between places
+    and pairs of pieces are looked up in tables of fixed size. Places are numbered
+    as they are met; there are no more than beginnings of pieces.
+    """
+
+    def __init__(self, model: PieceModel):
+        self.model, self.unknown = model, len(model.pieces)
+        self.steps, self.apart = KnownValues(TABLE_BITS - 2), KnownValues(TABLE_BITS)
+        self.number: dict[str, int] = {"": 0}
+        self.places = [""]  # the longest beginning of a piece that ends at a place, by its number
+        self.first = np.zeros(1024, np.int64)  # where the pieces that end at a place are listed, longest first
+        self.lengths, self.codes = np.ones(4096, np.int64), np.zeros(4096, np.int64)
+        self.listed = 1  # the first is that of a character no piece has: its code comes from the character
+
+    def _step(self, key: int) -> int:
+        """The number of the place behind one more character; key: number of the place before << 21 | character."""
+        char = chr(key & 0x1FFFFF)
+        held, model = self.places[key >> 21] + char, self.model
+        while held and held not in model.beginnings:
+            held = held[1:]
+        found = self.number.get(held)
+        if found is None:
+            found = self.number[held] = len(self.places)
+            if found >= 1 << 20:
+                raise ValueError("the pieces have more than a million beginnings")
+            self.places.append(held)
+            ends = [(len(held) - at, model.usable.get(held[at:])) for at in range(len(held))]
+            if ends[-1][1] is None:
+                ends[-1] = (1, self.unknown + ord(char))
+            ends = [end for end in ends if end[1] is not None]
+            if found >= len(self.first):
+                self.first = np.append(self.first, np.zeros_like(self.first))
+            while self.listed + len(ends) > len(self.codes):
+                self.lengths, self.codes = (np.append(a, np.zeros_like(a)) for a in (self.lengths, self.codes))
+            self.first[found] = self.listed
+            for length, code in ends:
+                self.lengths[self.listed], self.codes[self.listed] = length, code
+                self.listed += 1
+        return found
+
+    def _piece(self, code: int) -> str:
+        return self.model.pieces[code] if code < self.unknown else chr(code - self.unknown)
+
+    def _stay_apart(self, key: int) -> bool:
+        left, right = self._piece(key >> 22), self._piece(key & 0x3FFFFF)
+        return self.model.merged(left + right) == [left, right]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, which must not be empty, as little-endian 32-bit integers."""
+        out: list[bytes] = [b""] * len(texts)
+        order = np.argsort([-len(text) for text in texts]).tolist()
+        for at in range(0, len(order), SIDE_BY_SIDE):
+            part = order[at: at + SIDE_BY_SIDE]
+            for i, found in zip(part, self._search([texts[i] for i in part])):
+                out[i] = found
+        return out
+
+    def _search(self, texts: list[str]) -> list[bytes]:
+        """``texts`` come longest first."""
+        n, sizes = len(texts), np.array([len(text) for text in texts])
+        longest = int(sizes[0])
+        chars = np.zeros((n, longest), np.int64)
+        chars[np.arange(longest) < sizes[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+        chars = np.ascontiguousarray(chars.T)
+        # for each boundary of each text, where its last piece starts and which one it is
+        starts, codes = np.zeros((longest + 1, n), np.int64), np.zeros((longest + 1, n), np.int64)
+        flat = codes.ravel()
+        place, long_enough = np.zeros(n, np.int64), np.searchsorted(-sizes, -np.arange(longest + 1), side="right")
+        for end in range(1, longest + 1):
+            active = int(long_enough[end])
+            char = chars[end - 1, :active]
+            place = self.steps.get(place[:active] << 21 | char, self._step)
+            at, rows = self.first[place], np.arange(active)
+            while len(rows):
+                start, code = end - self.lengths[at], self.codes[at]
+                strange = np.flatnonzero(at == 0)
+                code[strange] = self.unknown + char[rows[strange]]
+                good = start == 0
+                inner = np.flatnonzero(~good)
+                keys = flat[start[inner] * n + rows[inner]] << 22 | code[inner]
+                good[inner] = self.apart.get(keys, self._stay_apart)
+                done = rows[good]
+                starts[end, done], codes[end, done] = start[good], code[good]
+                if len(done) == len(rows):
+                    break
+                bad = ~good
+                rows, at = rows[bad], at[bad] + 1
+        return self._read(sizes, starts, codes)
+
+    def _read(self, sizes: np.ndarray, starts: np.ndarray, codes: np.ndarray) -> list[bytes]:
+        """The pieces on the way back from each text's end, as ids in order."""
+        n = len(sizes)
+        at, rows, back = sizes, np.arange(n), []
+        counts = np.zeros(n, np.int64)
+        while len(rows):
+            back.append((rows, codes[at, rows]))
+            counts[rows] += 1
+            at = starts[at, rows]
+            more = at > 0
+            rows, at = rows[more], at[more]
+        last = np.cumsum(counts)
+        ids = np.zeros(int(last[-1]), "<i4")
+        for k, (rows, found) in enumerate(back, 1):
+            ids[last[rows] - k] = found
+        packed, bounds = ids.tobytes(), [0, *(last * 4).tolist()]
+        out = [packed[b:e] for b, e in zip(bounds, bounds[1:])]
+        for row in set(np.searchsorted(last, np.flatnonzero(ids >= self.unknown), side="right").tolist()):
+            row_codes = np.frombuffer(out[row], "<i4").tolist()
+            row_ids = [i for c in row_codes for i in ([c] if c < self.unknown else self.model.piece_ids(self._piece(c)))]
+            out[row] = np.array(row_ids, "<i4").tobytes()
+        return out
+
+
 class PieceCodec:
     """Encodes and decodes whole texts with a model.
 
@@ -319,15 +462,13 @@ class PieceCodec:
         self.young_bytes = 0
         self.breaks_line = "\n" not in self.model.alphabet
 
+    @cached_property
+    def _words(self) -> WordSearch:
+        return WordSearch(self.model)
+
     def _search(self, text: str) -> bytes:
         viterbi = StreamingViterbi(self.model)
         ids: list[int] = []
-        if self.model.kind == BPE and len(text) <= LOOK_EVERY:
-            ids = viterbi.codes_of(text)
-            unknown = len(self.model.pieces)
-            if ids and max(ids) >= unknown:
-                ids = [i for code in ids for i in ([code] if code < unknown else self.model.piece_ids(chr(code - unknown)))]
-            return array("i", ids).tobytes()
         for at in range(0, len(text), 1 << 14):
             for piece in viterbi.feed(text[at: at + (1 << 14)]):
                 ids += self.model.piece_ids(piece)
@@ -335,63 +476,107 @@ class PieceCodec:
             ids += self.model.piece_ids(piece)
         return array("i", ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word with the space ahead of it (``word`` itself is without)."""
-        found = self.young.get(word)
-        if found is not None:
-            return found
-        found = self.old.get(word)
-        if found is None:
-            if self.breaks_line and "\n" in word:
-                first, *rest = word.split("\n")
-                line = np.array(self.model.piece_ids("\n"), "<i4").tobytes()
-                return line.join([self._word(first), *(self._bare(part) for part in rest)])
-            plain = word.rstrip(self.model.stops)
-            if plain != word and plain.isalpha():
-                found = self._word(plain) + self._bare(word[len(plain):])
-            else:
-                found = self._search(SPACE + word)
-        if len(word) <= 40:
-            self._remember(word, found)
-        return found
-
-    def _remember(self, key: str, found: bytes) -> None:
-        """Keep a word's ids; when a generation holds REMEMBERED_BYTES, it becomes the old one and the older goes."""
+    def _search_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text (none is empty); a BPE model's short ones are searched side by side."""
+        if self.model.kind != BPE:
+            return [self._search(text) for text in texts]
+        short = [text for text in texts if len(text) <= LOOK_EVERY]
+        found = iter(self._words.ids(short))
+        if len(short) == len(texts):
+            return list(found)
+        return [next(found) if len(text) <= LOOK_EVERY else self._search(text) for text in texts]
+
+    def _cut(self, normal: str) -> list[str]:
+        """A normalized text's stretches as keys.
+
+        The key of a word behind one space is the word; that of a stretch without
+        a space ahead has the space behind it instead. Any other stretch (more
+        spaces, or a whole text) has one more space ahead.
+        """
+        if not normal:
+            return []
+        if not self.model.words_apart:
+            return [SPACE + normal]
+        if normal[0] == SPACE and SPACE * 2 not in normal and normal[-1] != SPACE:
+            return normal[1:].split(SPACE)
+        parts = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+\\Z", normal)
+        return [p + SPACE if p[0] != SPACE else p[1:] if len(p) > 1 and p[1] != SPACE else SPACE + p for p in parts]
+
+    @staticmethod
+    def _text(key: str) -> str:
+        return key[1:] if key[:1] == SPACE else key[:-1] if key[-1:] == SPACE else SPACE + key
+
+    def _atoms(self, key: str) -> list[str] | None:
+        """A key's parts that are encoded apart, as keys; None if it has none."""
+        if key[:1] == SPACE:
+            return None
+        bare = SPACE if key[-1:] == SPACE else ""
+        word = key.removesuffix(SPACE)
+        if self.breaks_line and "\n" in word:
+            first, *rest = word.split("\n")
+            if word == "\n" and bare:
+                return None
+            atoms = [first + bare] if first or not bare else []
+            for part in rest:
+                atoms += ["\n" + SPACE, part + SPACE] if part else ["\n" + SPACE]
+            return atoms
+        plain = word.rstrip(self.model.stops)
+        if plain != word and plain.isalpha():
+            return [plain + bare, word[len(plain):] + SPACE]
+        return None
+
+    def _learn(self, keys: set[str]) -> list[str]:
+        """Have the ids of all these keys in the younger half; returns the long ones, to forget after use.
+
+        A younger half of REMEMBERED_BYTES becomes the older one first, and the older goes.
+        """
         if self.young_bytes > REMEMBERED_BYTES:
             self.old, self.young, self.young_bytes = self.young, {}, 0
-        self.young[key] = found
-        self.young_bytes += len(key) + len(found) + WORD_OVERHEAD
-
-    def _bare(self, text: str) -> bytes:
-        """Ids of a stretch without a space ahead, remembered with one behind instead."""
-        key = text + SPACE
-        found = self.young.get(key)
-        if found is None:
-            found = self._search(text) if text else b""
-            if len(text) <= 40:
-                self._remember(key, found)
-        return found
+        young, single, levels = self.young, set(), []
+        wanted = self._remind(keys)
+        while wanted:
+            words = set(filter(str.isalpha, wanted))
+            made = {key: atoms for key in wanted.difference(words) if (atoms := self._atoms(key))}
+            single |= words
+            single |= wanted.difference(words, made)
+            levels.append(made)
+            wanted = self._remind(set().union(*made.values()).difference(single))
+        fresh = list(single)
+        young.update(zip(fresh, self._search_all([SPACE + key if key.isalpha() else self._text(key) for key in fresh])))
+        for made in reversed(levels):
+            for key, atoms in made.items():
+                young[key] = b"".join([young[atom] for atom in atoms])
+        fresh = single.union(*levels)
+        self.young_bytes += sum(map(len, fresh)) + sum(map(len, map(young.__getitem__, fresh))) + WORD_OVERHEAD * len(fresh)
+        return [key for key in fresh if len(key) > LONGEST_REMEMBERED]
+
+    def _remind(self, keys: set[str]) -> set[str]:
+        """Move what the older half knows to the younger one; returns the keys neither knows."""
+        keys = keys.difference(self.young)
+        known = keys & self.old.keys()
+        found = list(map(self.old.__getitem__, known))
+        self.young.update(zip(known, found))
+        self.young_bytes += sum(map(len, known)) + sum(map(len, found)) + WORD_OVERHEAD * len(known)
+        return keys - known
 
     def encode(self, text: str) -> np.ndarray:
-        normal = self.model.library.normalize(text) if text else ""
-        if not normal:
-            return np.zeros(0, np.int32)
-        if not self.model.words_apart:
-            packed = self._search(normal)
-        elif normal[0] == SPACE and SPACE * 2 not in normal and normal[-1] != SPACE:
-            words = normal[1:].split(SPACE)
-            packed = b"".join([self.young.get(word) or self._word(word) for word in words])
-        else:
-            parts = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+\\Z", normal)
-            packed = b"".join(
-                [self._word(p[1:]) if p[0] == SPACE and len(p) > 1 and p[1] != SPACE else self._search(p) for p in parts]
-            )
-        ids = np.frombuffer(packed, np.int32)
-        if not self.model.bytes:
-            # a run of unknown characters is one unknown piece
-            unknown = ids == self.model.unknown
-            ids = ids[~(unknown & np.append(False, unknown[:-1]))]
-        return ids
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; what is not remembered of all of them is searched together."""
+        cut = [self._cut(self.model.library.normalize(text) if text else "") for text in texts]
+        long = self._learn(set().union(*cut))
+        known, out = self.young.__getitem__, []
+        for keys in cut:
+            ids = np.frombuffer(b"".join(map(known, keys)), np.int32)
+            if not self.model.bytes:
+                # a run of unknown characters is one unknown piece
+                unknown = ids == self.model.unknown
+                ids = ids[~(unknown & np.append(False, unknown[:-1]))]
+            out.append(ids)
+        for key in long:
+            self.young_bytes -= len(key) + len(self.young.pop(key)) + WORD_OVERHEAD
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         model, texts = self.model, self.model.texts
@@ -440,7 +625,7 @@ def encode_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(held)
         for batch in slices(batches, text, PART_BYTES):
-            ids = [codec.encode(value or "") for value in strings(batch, text)]
+            ids = codec.encode_all([value or "" for value in strings(batch, text)])
             ends = np.concatenate([[0], np.cumsum([len(one) for one in ids])]).astype(np.int32)
             values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             new = {out: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))}

@@ -200,6 +200,33 @@ def test_encode_and_decode_tables(odd, none):
     assert all(r.round_trip for r in spm.piece_report(odd, PIECES).collect())
 
 
+def test_short_words_are_searched_side_by_side(monkeypatch):
+    """All words of a part that are not remembered are searched together, none by itself; the ids are the library's."""
+    monkeypatch.setattr(spm, "SIDE_BY_SIDE", 100)
+    codec, sp = spm.PieceCodec(RAW), sentencepiece.SentencePieceProcessor(model_proto=RAW)
+    monkeypatch.setattr(spm, "StreamingViterbi", None)
+    texts = ["", "\n", "a\n\nb. c", "\n.", "one, two.\nthree", "\u6f22\u5b57 \u00e9\U0001f642x. ", *random_texts(2000, seed=10, longest=25)]
+    texts = [text for text in texts if all(len(word) < 30 for word in sp.normalize(text).replace("\u2581", " ").split(" "))]
+    assert len(texts) > 1500
+    for at in range(0, len(texts), 400):
+        part = texts[at: at + 400]
+        assert [ids.tolist() for ids in codec.encode_all(part)] == sp.encode(part)
+    assert codec.young_bytes == sum(len(k) + len(v) + spm.WORD_OVERHEAD for k, v in codec.young.items())
+
+
+def test_tables_of_steps_and_pairs_are_bounded_and_change_nothing(monkeypatch):
+    """Numbers that push each other out of tiny tables, and forgotten words, give the same ids."""
+    monkeypatch.setattr(spm, "TABLE_BITS", 5)
+    monkeypatch.setattr(spm, "REMEMBERED_BYTES", 3000)
+    codec, sp = spm.PieceCodec(RAW), sentencepiece.SentencePieceProcessor(model_proto=RAW)
+    texts = random_texts(600, seed=11, longest=120)
+    for at in range(0, len(texts), 60):
+        part = texts[at: at + 60]
+        assert [ids.tolist() for ids in codec.encode_all(part)] == sp.encode(part)
+    assert len(codec.young) < 3000 and len(codec._words.apart.held) == 32 and len(codec._words.steps.held) == 8
+    assert max(map(len, codec.young)) <= spm.LONGEST_REMEMBERED
+
+
 def test_remembered_places_are_bounded_and_change_nothing(library, monkeypatch):
     """The pieces that end at a place come from remembered steps; dropping them again and again gives the same ids."""
     monkeypatch.setattr(spm, "REMEMBERED_PLACES", 50)
