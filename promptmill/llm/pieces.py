@@ -14,6 +14,8 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+
 #: ASCII white space ahead of a run of other characters, or at the end of the text.
 PIECES = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+\Z")
 #: White space beyond ASCII (and controls some libraries count as such) may join the ASCII kind in one token.
@@ -22,6 +24,8 @@ STOPS = ".,;:!?"
 #: Pieces remembered in each of two generations, and characters sent to the library at once.
 REMEMBERED = 450_000
 BATCH_CHARS = 1 << 18
+#: Characters of texts whose pieces are looked up at once.
+PART_CHARS = 1 << 20
 #: Longest piece that is remembered, and the length beyond which a text is taken in several parts.
 LONGEST_REMEMBERED = 40
 LONG_TEXT = 1 << 16
@@ -85,12 +89,16 @@ class PieceEncoder:
     """What ``measure`` gives for a text's ids, joined over its pieces.
 
     ``measure`` maps one library encoding to an int or to bytes; ``join`` is
-    ``sum`` or ``b"".join``. Pieces are known by their text behind one space, or
-    by a space and their text where no space goes before. At most ``2 *
-    remembered`` are kept: a full younger half becomes the older one.
+    ``sum`` or ``b"".join``. ``measure_runs``, if given, maps all ids of one
+    encoding and two lists, where its runs begin and end, to what ``measure``
+    gives for each run; runs of letters then go through the library as one text,
+    with a line end of its own token between them. Pieces are known by their
+    text behind one space, or by a space and their text where no space goes
+    before. At most ``2 * remembered`` are kept: a full younger half becomes the
+    older one.
     """
 
-    def __init__(self, tokenizer_json: str, measure, join, remembered: int = REMEMBERED):
+    def __init__(self, tokenizer_json: str, measure, join, remembered: int = REMEMBERED, measure_runs=None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -100,9 +108,14 @@ class PieceEncoder:
         self.by_piece = word_cut_allowed(tokenizer_json)
         if self.by_piece:
             rules = json.loads(tokenizer_json) | {"pre_tokenizer": None, "decoder": None, "added_tokens": []}
-            self.words = Tokenizer.from_str(json.dumps(rules | {"truncation": None, "padding": None}))
+            rules |= {"truncation": None, "padding": None}
             self.letters = _byte_letters()
-        self.measure, self.join, self.remembered = measure, join, remembered
+            line_end = self.letters[ord("\n")]
+            self.line_end = rules["model"]["vocab"].get(line_end) if measure_runs else None
+            if self.line_end is not None:
+                rules["pre_tokenizer"] = {"type": "Split", "pattern": {"String": line_end}, "behavior": "Isolated", "invert": False}
+            self.words = Tokenizer.from_str(json.dumps(rules))
+        self.measure, self.join, self.remembered, self.measure_runs = measure, join, remembered, measure_runs
         self.young: dict = {}
         self.old: dict = {}
 
@@ -111,15 +124,23 @@ class PieceEncoder:
 
     def _word(self, words: list[str]) -> list:
         """Runs of letters with at most one space ahead are one unit for the word pattern."""
+        if self.line_end is not None:
+            ids = self.words.encode_batch_fast([self._spelled("\n".join(words))], add_special_tokens=False)[0].ids
+            ids = np.array(ids, "<u4")
+            ends = np.flatnonzero(ids == self.line_end)
+            return self.measure_runs(ids, [0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)])
         spelled = [word.encode().decode("latin-1").translate(self.letters) for word in words]
         return [self.measure(e) for e in self.words.encode_batch_fast(spelled, add_special_tokens=False)]
 
+    def _spelled(self, text: str) -> str:
+        """Letters, spaces and line ends as a byte-level file writes them."""
+        if text.isascii():
+            return text.replace(" ", self.letters[32]).replace("\n", self.letters[10])
+        return text.encode().decode("latin-1").translate(self.letters)
+
     @staticmethod
     def _atoms(key: str) -> list[str]:
-        """A piece's parts that are encoded apart, as keys."""
-        word = key.rstrip(STOPS)
-        if word.isalpha():
-            return [word, " " + key[len(word):]]
+        """The parts, as keys, that a piece is encoded in which is not just letters and stops."""
         atoms = []
         for part in PIECES.findall(key[1:] if key[0] == " " else " " + key):
             if part[0] == "\n" and part[1:2].strip():
@@ -138,8 +159,14 @@ class PieceEncoder:
         young, old = self.young, self.old
         fresh = self._remind(keys)
         words = set(filter(str.isalpha, fresh))
-        made_of = {key: self._atoms(key) for key in fresh.difference(words)}
-        words.update(self._remind(set().union(*made_of.values()).difference(young)))
+        ends_in_stops, made_of = {}, {}
+        for key in fresh.difference(words):
+            word = key.rstrip(STOPS)
+            if word.isalpha():
+                ends_in_stops[key] = word, " " + key[len(word):]
+            else:
+                made_of[key] = self._atoms(key)
+        words.update(self._remind(set().union(*made_of.values(), *zip(*ends_in_stops.values())).difference(young)))
         others = [key for key in words if not key.isalpha()]
         words.difference_update(others)
         bare = [key for key in others if key[0] == " " and key[1:].isalpha()]
@@ -154,6 +181,10 @@ class PieceEncoder:
             for batch in balanced(spelled):
                 young.update(zip(these[done:done + len(batch)], encode(batch)))
                 done += len(batch)
+        for key, (word, stops) in ends_in_stops.items():
+            young[key] = young[word] + young[stops]
+            if len(key) > LONGEST_REMEMBERED:
+                forget += [part for part in (key, word, stops) if len(part) > LONGEST_REMEMBERED]
         for key, atoms in made_of.items():
             if key not in young:
                 young[key] = self.join([young[atom] for atom in atoms])
@@ -190,7 +221,7 @@ class PieceEncoder:
     def __call__(self, texts: list[str]) -> list:
         """One result per text, in order; an empty text gives that of no ids."""
         results: list = []
-        for batch in balanced(texts):
+        for batch in balanced(texts, PART_CHARS if self.by_piece else BATCH_CHARS):
             if not self.by_piece:
                 results += self._whole(batch)
                 continue

@@ -194,8 +194,17 @@ def write_token_files(
 
 def _encoder(held) -> PieceEncoder:
     """One encoder per worker process and tokenizer file."""
-    to_bytes = lambda e: np.array(e.ids, "<u4").tobytes()
-    return worker_state(("ids", hash(held.value)), lambda: PieceEncoder(held.value.decode(), to_bytes, b"".join))
+    make = lambda: PieceEncoder(held.value.decode(), _to_bytes, b"".join, measure_runs=_bytes_of_runs)
+    return worker_state(("ids", hash(held.value)), make)
+
+
+def _to_bytes(encoding) -> bytes:
+    return np.array(encoding.ids, "<u4").tobytes()
+
+
+def _bytes_of_runs(ids: np.ndarray, begins: list[int], ends: list[int]) -> list[bytes]:
+    packed = ids.astype("<u4", copy=False).tobytes()
+    return [packed[4 * b: 4 * e] for b, e in zip(begins, ends)]
 
 
 def read_token_files(manifest: DataFrame, doc_ids: Sequence[int] | None = None) -> DataFrame:

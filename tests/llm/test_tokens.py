@@ -42,6 +42,27 @@ def test_pieces_add_up_to_the_library(library, monkeypatch):
     assert encode(texts) == wanted
 
 
+def test_runs_of_letters_go_through_the_library_as_one_text(library):
+    """Not a text each: the ids of one encoding are cut at the line ends between the words."""
+    class Counted:
+        def __init__(self, words):
+            self.words, self.asked = words, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.asked.append(len(texts))
+            return self.words.encode_batch_fast(texts, **options)
+
+    text = open(BYTE_BPE).read()
+    encode = pieces.PieceEncoder(text, token_files._to_bytes, b"".join, measure_runs=token_files._bytes_of_runs)
+    encode.words = Counted(encode.words)
+    texts = ["", "one", "a" + "." * 50, "x" * 50 + ",", "the same words\nin lines, \u00fcber \u6f22\u5b57 \u00e9t\u00e9.\n\nthe", *random_texts(3000, seed=12)]
+    found = encode(texts)
+    wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == wanted
+    assert encode.words.asked and max(encode.words.asked) == 1
+    assert max(map(len, encode.young)) <= pieces.LONGEST_REMEMBERED
+
+
 def test_only_plain_byte_files_are_cut():
     assert pieces.word_cut_allowed(open(BYTE_BPE).read())
     assert not pieces.word_cut_allowed(open(WORD_BPE).read())
