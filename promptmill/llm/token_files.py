@@ -24,8 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from promptmill.llm.piece_table import PieceTable
 from promptmill.llm.pieces import PieceEncoder
-from promptmill.llm.shared import broadcast_file, ready, slices, strings, worker_state
+from promptmill.llm.shared import broadcast_file, ready, slices, worker_state
 from promptmill.workspace import fresh_dir, materialize
 
 # Fixed values of the zstandard frame and seekable formats.
@@ -175,7 +176,7 @@ def write_token_files(
                 system.create_dir(os.path.dirname(inner), recursive=True)
                 stream = system.open_output_stream(inner, compression=None)
                 writer = TokenFileWriter(stream)
-            for doc_id, ids in zip(keys, encode([value or "" for value in strings(batch, "text")])):
+            for doc_id, ids in zip(keys, encode(batch.column("text"))):
                 writer.add(doc_id, ids + end)
                 if doc_id is not None:
                     first, last = doc_id if first is None else first, doc_id
@@ -192,10 +193,14 @@ def write_token_files(
     return materialize(ordered.mapInArrow(run, MANIFEST), "token-files")
 
 
-def _encoder(held) -> PieceEncoder:
+def _encoder(held) -> PieceTable:
     """One encoder per worker process and tokenizer file."""
-    make = lambda: PieceEncoder(held.value.decode(), _to_bytes, b"".join, measure_runs=_bytes_of_runs)
-    return worker_state(("ids", hash(held.value)), make)
+    return worker_state(("ids", hash(held.value)), lambda: _table(held.value.decode()))
+
+
+def _table(tokenizer_json: str) -> PieceTable:
+    others = PieceEncoder(tokenizer_json, _to_bytes, b"".join, measure_runs=_bytes_of_runs)
+    return PieceTable(tokenizer_json, others)
 
 
 def _to_bytes(encoding) -> bytes:

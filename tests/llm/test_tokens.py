@@ -6,12 +6,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import zstandard
 from tokenizers import Tokenizer
 
-from promptmill.llm import pieces, spm, token_files
+from promptmill.llm import piece_table, pieces, spm, token_files
 from promptmill.llm.token_counts import count_tokens, token_count_report
 from promptmill.workspace import fresh_dir
 
@@ -63,6 +64,51 @@ def test_runs_of_letters_go_through_the_library_as_one_text(library):
     assert max(map(len, encode.young)) <= pieces.LONGEST_REMEMBERED
 
 
+def spaced_texts(n, seed):
+    rnd = random.Random(seed)
+    units = [*"ab.,;'! \n12\u00e9\u6f22", " ", " ", "\n", " the", "'s", "!?", ". ", "Word", "\tx", "<|endoftext|>"]
+    weights = [8] * (len(units) - 2) + [1, 1]
+    return ["".join(rnd.choices(units, weights, k=rnd.randrange(25))) for _ in range(n)]
+
+
+def test_plain_texts_of_a_column_are_looked_up_in_arrays(library, monkeypatch):
+    """No Python lookup for each piece: the encoder by pieces is not asked, and the library gets many parts at a time."""
+    class Held:
+        value = open(BYTE_BPE, "rb").read()
+
+    monkeypatch.setattr(pieces.PieceEncoder, "__call__", None)
+    texts = ["", "one", " two,\n\nthree  four.\n", "\nfive!? 'tis \u00fcber-6f22\u6f22 ", *(f"word{'abc'[i % 3] * (i % 50)}, and {i}\nThe." for i in range(3000))]
+    found = token_files._encoder(Held)(pa.array([None, *texts]))
+    assert found[0] == b""
+    wanted = library.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found[1:]] == [e.ids for e in wanted]
+
+
+def test_table_of_parts_is_bounded_and_changes_nothing(library):
+    """Plain texts and others side by side; a full table is cut to the last slice or to nothing."""
+    table = token_files._table(open(BYTE_BPE).read())
+    asked, other = [], table._other
+    table._other = lambda texts: asked.append(len(texts)) or other(texts)
+    for remembered in (piece_table.REMEMBERED_BYTES, 30_000, 100):
+        table.remembered = remembered
+        for seed in range(5):
+            texts = [*spaced_texts(800, seed), *random_texts(100, seed)]
+            wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in table(pa.array(texts))] == wanted
+            assert table._bytes() <= remembered
+    assert 0 < sum(asked) < 0.6 * 15 * 900
+
+
+def test_parts_the_library_does_not_part_are_encoded_singly(library):
+    """If a joined text does not come apart in as many runs as words went in, each goes in by itself."""
+    table = token_files._table(open(BYTE_BPE).read())
+    table.opens[:] = False
+    table.others.line_end = -1
+    texts = ["some words here.\nAnd 12 more, it's all"] * 2
+    wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in table(pa.array(texts, pa.large_string()))] == wanted
+
+
 def test_only_plain_byte_files_are_cut():
     assert pieces.word_cut_allowed(open(BYTE_BPE).read())
     assert not pieces.word_cut_allowed(open(WORD_BPE).read())
