@@ -49,8 +49,6 @@ class PieceTable:
     """
 
     def __init__(self, tokenizer_json: str, others: PieceEncoder, remembered: int = REMEMBERED_BYTES):
-        from tokenizers import Tokenizer
-
         self.others, self.remembered = others, remembered
         self.by_piece = self.others.by_piece and self.others.line_end is not None
         if self.by_piece:
@@ -61,9 +59,6 @@ class PieceTable:
             space = self.others.letters[ord(" ")]
             self.opens = np.zeros(max(vocab.values()) + 1, bool)
             self.opens[[number for piece, number in vocab.items() if piece.startswith(space)]] = True
-            rules |= {"decoder": None, "added_tokens": [], "truncation": None, "padding": None}
-            rules["pre_tokenizer"] = {"type": "Split", "pattern": {"String": space}, "behavior": "MergedWithNext", "invert": False}
-            self.spaced = Tokenizer.from_str(json.dumps(rules))
         self._forget()
 
     def _forget(self) -> None:
@@ -174,7 +169,7 @@ class PieceTable:
 
     def _spaced_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Runs of letters behind a space as one text; a token that begins with a space begins a run."""
-        ids = self._ids(self.spaced, self.others._spelled("".join(texts)))
+        ids = self._ids(self.others.words, self.others._spelled("".join(texts)))
         begins = np.flatnonzero(self.opens[ids])
         if len(begins) != len(texts) or begins[0]:
             return self._singly(texts)

@@ -92,7 +92,8 @@ class PieceEncoder:
     ``sum`` or ``b"".join``. ``measure_runs``, if given, maps all ids of one
     encoding and two lists, where its runs begin and end, to what ``measure``
     gives for each run; runs of letters then go through the library as one text,
-    with a line end of its own token between them. Pieces are known by their
+    with a line end of its own token between them (a space ahead of a run parts
+    it too). Pieces are known by their
     text behind one space, or by a space and their text where no space goes
     before. At most ``2 * remembered`` are kept: a full younger half becomes the
     older one.
@@ -113,7 +114,9 @@ class PieceEncoder:
             line_end = self.letters[ord("\n")]
             self.line_end = rules["model"]["vocab"].get(line_end) if measure_runs else None
             if self.line_end is not None:
-                rules["pre_tokenizer"] = {"type": "Split", "pattern": {"String": line_end}, "behavior": "Isolated", "invert": False}
+                cuts = (line_end, "Isolated"), (self.letters[ord(" ")], "MergedWithNext")
+                cuts = [{"type": "Split", "pattern": {"String": x}, "behavior": how, "invert": False} for x, how in cuts]
+                rules["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": cuts}
             self.words = Tokenizer.from_str(json.dumps(rules))
         self.measure, self.join, self.remembered, self.measure_runs = measure, join, remembered, measure_runs
         self.young: dict = {}

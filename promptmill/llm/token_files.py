@@ -38,6 +38,8 @@ HAS_CHECKSUMS = 0x80
 #: Bytes of ids after which a frame is closed.
 FRAME_BYTES = 256 << 10
 LEVEL = 3
+#: Bytes of text encoded at once.
+PART_BYTES = 4 << 20
 MANIFEST = "shard int, file string, n_docs bigint, n_tokens bigint, n_frames bigint, first_id bigint, last_id bigint"
 
 
@@ -167,7 +169,7 @@ def write_token_files(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(held)
         writer, first, last = None, None, None
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PART_BYTES):
             keys = batch.column("key").to_pylist()
             if writer is None:
                 shard = TaskContext.get().partitionId()
