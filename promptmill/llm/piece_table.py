@@ -1,10 +1,10 @@
 """Token ids of a column of texts: a slice is cut, looked up and joined in arrays, each distinct piece encoded once.
 
-Plain texts (no control characters, no white space but single or paired spaces
-and line ends, no special token) are cut ahead of spaces and line ends. A piece
-is a line end or nothing, a word or other characters with at most one space
-ahead, and stops or nothing; these parts are kept in a table by their text. All
-other texts go through ``PieceEncoder``.
+Texts are cut ahead of the last character of every run of white space and, if
+there is more, ahead of the run; a run at the end stays whole. A piece is white
+space alone, or a white character or nothing, a word or other characters, and
+stops or nothing; these parts are kept in a table by their text, a space with
+what follows it. Texts with special tokens go through ``PieceEncoder``.
 """
 
 from __future__ import annotations
@@ -18,13 +18,16 @@ import pyarrow.compute as pc
 
 from promptmill.llm.pieces import BATCH_CHARS, STOPS, PieceEncoder
 
-#: Texts with white space or controls that the cutting below does not know, or white space it would cut wrongly.
-NOT_PLAIN = (
-    r"[\x00-\x09\x0b-\x1f\x7f-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}\x{3000}\x{feff}]"
-    r"|[ \n]{3}|[ \n]{2}\z"
-)
-#: Stands ahead of a text, whose first piece has no space before it; plain texts do not hold it.
-START = "\x01"
+#: Stands where a text is cut.
+CUT = "\x02"
+#: What the library's word pattern takes as white space.
+WHITE = " \t\n\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
+#: Characters of texts that are not cut here: the mark, and controls some libraries count as white space.
+NOT_CUT = CUT + "\x1c-\x1f\u180e"
+#: White space other than spaces and line ends, or more of these than are right when each is cut off.
+RUNS = f"[{WHITE[1]}{WHITE[3:]}]|[ \n]{{3}}|[ \n]{{2}}\\z"
+#: A run at the end of a text, or another run's last character and what stands ahead of it.
+RUN = f"([{WHITE}]+)\\z|([{WHITE}]*)([{WHITE}])"
 #: A longer text (bytes) is not cut in one array.
 LONGEST = 1 << 29
 #: Bytes of parts and ids remembered from slice to slice.
@@ -43,7 +46,7 @@ class PieceTable:
     """Called with a column of texts, gives each one's ids as little-endian unsigned 32-bit integers.
 
     ``others`` is an encoder of the same file that gives such bytes; it takes the
-    texts that are not plain. The table holds parts of pieces as one array of
+    texts that are not cut here. The table holds parts of pieces as one array of
     texts and one of all their ids. When it is full, only the parts of the last
     slice are kept.
     """
@@ -54,7 +57,7 @@ class PieceTable:
         if self.by_piece:
             rules = json.loads(tokenizer_json)
             special = [re.escape(token["content"]) for token in rules.get("added_tokens", []) if token["content"]]
-            self.not_plain = "|".join([NOT_PLAIN, *special])
+            self.not_cut = "|".join([f"[{NOT_CUT}]", *special])
             vocab = rules["model"]["vocab"]
             space = self.others.letters[ord(" ")]
             self.opens = np.zeros(max(vocab.values()) + 1, bool)
@@ -71,10 +74,12 @@ class PieceTable:
         texts = pc.fill_null(texts, "")
         if not self.by_piece:
             return self.others(texts.to_pylist())
-        plain = pc.invert(pc.match_substring_regex(texts, self.not_plain))
-        plain = pc.and_(plain, pc.less_equal(pc.binary_length(texts), LONGEST)).to_numpy(zero_copy_only=False)
+        other = pc.or_(pc.match_substring_regex(texts, self.not_cut), pc.greater(pc.binary_length(texts), LONGEST))
+        runs = pc.and_not(pc.match_substring_regex(texts, RUNS), other)
+        kinds = (pc.invert(pc.or_(other, runs)), self._plain), (runs, self._with_runs), (other, self._other)
         results: list = [b""] * len(texts)
-        for rows, encode in ((np.flatnonzero(plain), self._plain), (np.flatnonzero(~plain), self._other)):
+        for mask, encode in kinds:
+            rows = np.flatnonzero(mask.to_numpy(zero_copy_only=False))
             if len(rows):
                 these = texts if len(rows) == len(texts) else texts.take(pa.array(rows))
                 for row, ids in zip(rows.tolist(), encode(these)):
@@ -85,8 +90,13 @@ class PieceTable:
         return self.others(texts.to_pylist())
 
     def _plain(self, texts: pa.Array) -> list[bytes]:
-        marked = pc.binary_join_element_wise(START, texts.cast(pa.string()), "")
-        cut = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        return self._join(pc.replace_substring(pc.replace_substring(texts, " ", CUT + " "), "\n", CUT + "\n"))
+
+    def _with_runs(self, texts: pa.Array) -> list[bytes]:
+        return self._join(pc.replace_substring_regex(texts, RUN, f"{CUT}\\1\\2{CUT}\\3"))
+
+    def _join(self, marked: pa.Array) -> list[bytes]:
+        cut = pc.split_pattern(marked.cast(pa.string()), CUT)
         coded = cut.flatten().dictionary_encode()
         flat, begin, length = self._pieces(coded.dictionary)
         which = coded.indices.to_numpy()
@@ -97,21 +107,24 @@ class PieceTable:
 
     def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct pieces: all of them, where each piece's begin, and how many it has."""
-        line = pc.starts_with(pieces, "\n")
-        bare = pc.or_(line, pc.starts_with(pieces, START))
-        body = pc.ascii_ltrim(pieces, "\n" + START)
+        body = pc.utf8_ltrim(pieces, WHITE)
+        white = pc.equal(pc.binary_length(body), 0)
+        spaced = pc.starts_with(pieces, " ")
+        led = pc.and_not(pc.less(pc.binary_length(body), pc.binary_length(pieces)), pc.or_(white, spaced))
+        lead = pc.utf8_slice_codeunits(pieces.filter(led), 0, 1)
         word = pc.ascii_rtrim(body, STOPS)
         is_word = pc.utf8_is_alpha(word)
         stopped = pc.and_(is_word, pc.less(pc.binary_length(word), pc.binary_length(body)))
         stops = pc.struct_field(pc.extract_regex(body.filter(stopped), f"(?P<stops>[{STOPS}]+)\\z"), "stops")
-        main = pc.binary_join_element_wise(pc.if_else(bare, "", " "), pc.if_else(is_word, word, body), "")
-        coded = pa.concat_arrays([pa.array(["", "\n"]), main, stops]).dictionary_encode()
+        main = pc.if_else(white, pieces, pc.if_else(is_word, word, body))
+        main = pc.binary_join_element_wise(pc.if_else(pc.and_not(spaced, white), " ", ""), main, "")
+        coded = pa.concat_arrays([pa.array([""]), main, lead, stops]).dictionary_encode()
         known = self._rows(coded.dictionary)
         rows = known[coded.indices.to_numpy()]
         parts = np.full((len(pieces), 3), rows[0])
-        parts[line.to_numpy(zero_copy_only=False), 0] = rows[1]
-        parts[:, 1] = rows[2: 2 + len(pieces)]
-        parts[stopped.to_numpy(zero_copy_only=False), 2] = rows[2 + len(pieces):]
+        parts[led.to_numpy(zero_copy_only=False), 0] = rows[1 + len(pieces): 1 + len(pieces) + len(lead)]
+        parts[:, 1] = rows[1: 1 + len(pieces)]
+        parts[stopped.to_numpy(zero_copy_only=False), 2] = rows[1 + len(pieces) + len(lead):]
         flat, ends = gather(self.flat, self.begin[parts.ravel()], self.length[parts.ravel()])
         ends = ends[2::3]
         length = np.diff(ends, prepend=0)
@@ -127,12 +140,12 @@ class PieceTable:
         fresh = parts.take(pa.array(missing))
         spaced = pc.starts_with(fresh, " ").to_numpy(zero_copy_only=False)
         word = pc.utf8_is_alpha(pc.ascii_ltrim(fresh, " ")).to_numpy(zero_copy_only=False)
-        blank = pc.equal(pc.binary_length(pc.ascii_trim(fresh, " \n")), 0).to_numpy(zero_copy_only=False)
+        white = pc.equal(pc.binary_length(pc.utf8_trim(fresh, WHITE)), 0).to_numpy(zero_copy_only=False)
         kinds = (
             (word & spaced, self._spaced_words),
             (word & ~spaced, lambda texts: self._by_lines(self.others.words, self.others._spelled("\n".join(texts)), texts)),
-            (~word & ~blank, lambda texts: self._by_lines(self.others.whole, "\n".join(texts), texts)),
-            (blank, self._singly),
+            (~word & ~white, lambda texts: self._by_lines(self.others.whole, "\n".join(texts), texts)),
+            (white, self._singly),
         )
         order, flats, lengths, held = [], [self.flat], [self.length], len(self.parts)
         for mask, encode in kinds:

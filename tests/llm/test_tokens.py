@@ -71,13 +71,13 @@ def spaced_texts(n, seed):
     return ["".join(rnd.choices(units, weights, k=rnd.randrange(25))) for _ in range(n)]
 
 
-def test_plain_texts_of_a_column_are_looked_up_in_arrays(library, monkeypatch):
+def test_texts_of_a_column_are_looked_up_in_arrays(library, monkeypatch):
     """No Python lookup for each piece: the encoder by pieces is not asked, and the library gets many parts at a time."""
     class Held:
         value = open(BYTE_BPE, "rb").read()
 
     monkeypatch.setattr(pieces.PieceEncoder, "__call__", None)
-    texts = ["", "one", " two,\n\nthree  four.\n", "\nfive!? 'tis \u00fcber-6f22\u6f22 ", *(f"word{'abc'[i % 3] * (i % 50)}, and {i}\nThe." for i in range(3000))]
+    texts = ["", "one", " ", "\n\n\n", "a\t\tb.\r\n\r\n    if c:\xa0d\u3000 e   \n", " two,\n\nthree  four.\n", "\nfive!? 'tis \u00fcber-6f22\u6f22 ", *(f"word{'abc'[i % 3] * (i % 50)}, and {i}\nThe." for i in range(3000))]
     found = token_files._encoder(Held)(pa.array([None, *texts]))
     assert found[0] == b""
     wanted = library.encode_batch(texts, add_special_tokens=False)
@@ -85,7 +85,7 @@ def test_plain_texts_of_a_column_are_looked_up_in_arrays(library, monkeypatch):
 
 
 def test_table_of_parts_is_bounded_and_changes_nothing(library):
-    """Plain texts and others side by side; a full table is cut to the last slice or to nothing."""
+    """Texts with special tokens and without side by side; a full table is cut to the last slice or to nothing."""
     table = token_files._table(open(BYTE_BPE).read())
     asked, other = [], table._other
     table._other = lambda texts: asked.append(len(texts)) or other(texts)
